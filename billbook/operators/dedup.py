@@ -39,8 +39,9 @@ def dedup_join_max_key(df: DataFrame, keys: Sequence[str], version_col: str = "d
     the keys that AQE can split when one key is hot.
     """
     mx = df.groupBy(*keys).agg(F.max(version_col).alias("_max_version"))
-    cond = [df[k].eqNullSafe(mx[k]) for k in keys] + [df[version_col] == mx["_max_version"]]
-    return df.join(mx, cond, "inner").select(*[df[c] for c in df.columns])
+    mx = mx.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_max_version")
+    cond = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col(version_col) == F.col("_max_version")]
+    return df.join(mx, cond, "inner").select(*df.columns)
 
 
 def snapshot_latest_batch(df: DataFrame, version_col: str = "dedup_key") -> DataFrame:

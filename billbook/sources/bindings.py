@@ -98,3 +98,28 @@ def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
     invoices = invoices_from_orders(orders)
     payments = payments_from_lineitem(lineitem, invoices)
     return Tables(invoices=invoices, payments=payments)
+
+
+def raw_invoice_text(orders: DataFrame) -> DataFrame:
+    """Raw invoice rows as text (the CSV contract) made from ``orders``.
+    Invoice ids carry a ``FAT-`` prefix, so the digit strip is exercised."""
+    emitted = F.to_date(F.col("o_orderdate"))
+    return orders.select(
+        F.col("o_custkey").cast("string").alias("id_cliente"),
+        F.concat(F.lit("FAT-"), F.col("o_orderkey").cast("string")).alias("id_fatura"),
+        F.date_format(emitted, "yyyy-MM-dd").alias("dt_emissao_fatura"),
+        F.date_format(F.date_add(emitted, DUE_DAYS), "yyyy-MM-dd").alias("dt_vencimento_fatura"),
+        F.col("o_totalprice").cast(MONEY).cast("string").alias("valor_fatura"),
+    )
+
+
+def raw_payment_text(payments: DataFrame) -> DataFrame:
+    """Raw payment rows as text made from bound payments; payment ids carry
+    a ``PAG-`` prefix."""
+    return payments.select(
+        F.col("id_cliente").cast("string").alias("id_cliente"),
+        F.col("id_fatura").cast("string").alias("id_fatura"),
+        F.concat(F.lit("PAG-"), F.col("id_pagamento").cast("string")).alias("id_pagamento"),
+        F.date_format(F.col("data_pagamento"), "yyyy-MM-dd").alias("dt_pagamento"),
+        F.col("valor_pagamento").cast("string").alias("valor_pagamento"),
+    )

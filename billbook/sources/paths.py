@@ -46,3 +46,31 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
     fs, p = _fs(spark, src)
     jvm = spark.sparkContext._jvm
     fs.rename(p, jvm.org.apache.hadoop.fs.Path(dst))
+
+
+def list_entries(spark: SparkSession, folder: str, suffix: str = "") -> list[tuple[str, int]]:
+    """(path, modification time ms) of files *and* folders directly in
+    ``folder`` (a Spark-written dataset is a folder)."""
+    fs, p = _fs(spark, folder)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        path = st.getPath().toString()
+        name = st.getPath().getName()
+        if name.startswith(("_", ".")):
+            continue
+        if path.endswith(suffix):
+            out.append((path, int(st.getModificationTime())))
+    return out
+
+
+def set_times(spark: SparkSession, path: str, mtime_ms: int) -> None:
+    fs, p = _fs(spark, path)
+    fs.setTimes(p, int(mtime_ms), -1)
+
+
+def glob_files(spark: SparkSession, pattern: str) -> list[str]:
+    fs, p = _fs(spark, pattern)
+    st = fs.globStatus(p)
+    return [] if st is None else [s.getPath().toString() for s in st if s.isFile()]

@@ -28,7 +28,9 @@ def _norm(v):
             return None
         return round(v, 6)
     if hasattr(v, "isoformat"):
-        return v.isoformat()[:10] if type(v).__name__ == "date" else v.isoformat()
+        iso = v.isoformat()
+        # A DATE may arrive as a midnight timestamp from one engine.
+        return iso[:10] if (type(v).__name__ == "date" or iso.endswith("T00:00:00")) else iso
     try:
         import decimal
         if isinstance(v, decimal.Decimal):
