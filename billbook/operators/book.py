@@ -122,7 +122,9 @@ def book_long(stage: DataFrame, anchor=None) -> DataFrame:
     p = _partials(stage)
     a = _anchor_col(anchor)
     if a is None:
-        a = F.max("data_emissao").over(Window.partitionBy("id_cliente"))
+        # One window aggregate, referenced by all four flags.
+        p = p.withColumn("_anchor", F.max("data_emissao").over(Window.partitionBy("id_cliente")))
+        a = F.col("_anchor")
     m = months_between(a, F.col("data_emissao"))
     flags = {w: (F.lit(True) if k is None else (m <= F.lit(k))) for w, k in WINDOWS.items()}
     p = p.select("*", *[F.coalesce(c, F.lit(False)).alias(f"_in_{w}") for w, c in flags.items()])
