@@ -41,3 +41,77 @@ def build_book(invoices: DataFrame, payments: DataFrame, dt_proc: str, ref_date:
     joined = invoice_payment_join(latest_invoices(inv), latest_payments(payments))
     stage = stage_invoices(classified(joined, ref_date), dt_proc)
     return BookResult(stage=stage, book=book_by_cohort(stage, dt_proc, anchor=ref_date))
+
+
+@dataclass
+class PipelineReport:
+    invoices: dict
+    payments: dict
+    book: dict
+
+
+def layer(lake_root: str, *parts: str) -> str:
+    return "/".join([lake_root.rstrip("/"), *parts])
+
+
+def run_book(spark, lake_root: str, dt_proc: str, ref_date: str | None = None) -> dict:
+    """Build, check and publish the stage and the book from the trusted
+    tables under ``lake_root``.
+
+    The stage is written to a staging folder first and the book is computed
+    from those files: the long dedup/join lineage is cut by a table on the
+    shared file system, so a lost executor only recomputes from the stage.
+    The book is checked from its written files; only when the check passes
+    are stage and book moved into their tables (check first, then publish
+    both). Quality and lineage rows are appended either way / on success.
+    """
+    from billbook.operators.book import BOOK_KEYS
+    from billbook.operators.observability import IntegritySpec, check_integrity, lineage_row, record_lineage
+    from billbook.schemas import INVOICES, PAYMENTS, STAGE
+    from billbook.sinks.parquet import append_partitioned
+    from billbook.sources.lake import read_table
+    from billbook.sources.paths import publish
+
+    invoices = read_table(spark, layer(lake_root, "trusted", "tb_01_fatura"), INVOICES)
+    payments = read_table(spark, layer(lake_root, "trusted", "tb_02_pagamento"), PAYMENTS)
+    staging = layer(lake_root, "_staging", dt_proc)
+    res = build_book(invoices, payments, dt_proc, ref_date)
+
+    append_partitioned(res.stage, layer(staging, "stage_fatura"), ["ref"])
+    stage = read_table(spark, layer(staging, "stage_fatura"), STAGE)
+    book = build_book_from_stage(stage, dt_proc, ref_date)
+    append_partitioned(book, layer(staging, "book_fatura"), ["ref"])
+    written = spark.read.parquet(layer(staging, "book_fatura"))
+    written = written.withColumn("ref", written["ref"].cast("string"))
+
+    report = check_integrity(written, "book_fatura", dt_proc, IntegritySpec(BOOK_KEYS, BOOK_KEYS),
+                             layer(lake_root, "qualidade"))
+    publish(spark, layer(staging, "stage_fatura"), layer(lake_root, "refined", "stage_fatura"))
+    publish(spark, layer(staging, "book_fatura"), layer(lake_root, "refined", "book_fatura"))
+    record_lineage(layer(lake_root, "controle"),
+                   lineage_row(spark, "book_fatura", dt_proc, report["total_registros"],
+                               "trusted/tb_01_fatura + tb_02_pagamento", "safras_consolidadas"))
+    return report
+
+
+def build_book_from_stage(stage: DataFrame, dt_proc: str, ref_date: str | None = None) -> DataFrame:
+    return book_by_cohort(stage, dt_proc, anchor=ref_date)
+
+
+def run_pipeline(spark, lake_root: str, dt_proc: str, ref_date: str | None = None) -> PipelineReport:
+    """The whole batch in one session: newest raw invoice and payment files
+    (official folder, then backups) -> trusted tables -> stage and book."""
+    from billbook.plans.trusted import load_trusted
+    from billbook.schemas import RAW_INVOICE, RAW_PAYMENT
+    from billbook.sources.raw import latest_entry, read_csv
+
+    reports = {}
+    for kind, folder, schema in (("fatura", "fatura", RAW_INVOICE), ("pagamento", "pagamento", RAW_PAYMENT)):
+        candidates = [layer(lake_root, "raw", folder), layer(lake_root, "raw", "backup_01", folder),
+                      layer(lake_root, "raw", "backup_02", folder)]
+        src = latest_entry(spark, candidates)
+        table = "tb_01_fatura" if kind == "fatura" else "tb_02_pagamento"
+        reports[kind] = load_trusted(read_csv(spark, src, schema), kind, dt_proc, layer(lake_root, "trusted", table),
+                                     layer(lake_root, "qualidade"), layer(lake_root, "controle"), src.rsplit("/", 1)[-1])
+    book = run_book(spark, lake_root, dt_proc, ref_date)
+    return PipelineReport(reports["fatura"], reports["pagamento"], book)

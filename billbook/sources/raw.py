@@ -72,7 +72,7 @@ def write_named_batches(df: DataFrame, folder: str, prefix: str, ref_col: str, s
 
     spark = df.sparkSession
     staging = folder.rstrip("/") + "/_staging"
-    df.repartition(ref_col).write.partitionBy(ref_col).option("header", True).csv(staging)
+    df.hint("rebalance", ref_col).write.partitionBy(ref_col).option("header", True).csv(staging)
     out = []
     for i, path in enumerate(sorted(glob_files(spark, f"{staging}/{ref_col}=*/part-*"))):
         ref = path.split(f"{ref_col}=")[1].split("/")[0]
