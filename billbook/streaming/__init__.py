@@ -1,0 +1,10 @@
+"""Structured Streaming drivers.
+
+The source system has no stream processing: raw files land in a folder and a
+batch job loads the newest one. ``landing.ingest_landing`` is the
+Spark-native form of that: a file stream over the landing folder with an
+``availableNow`` trigger, so each run loads exactly the files not loaded
+before (tracked in the checkpoint), through the same trusted load.
+"""
+
+from billbook.streaming.landing import ingest_landing  # noqa: F401

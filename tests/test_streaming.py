@@ -1,0 +1,20 @@
+from billbook.schemas import INVOICES, RAW_INVOICE
+from billbook.streaming import ingest_landing
+
+
+def test_landing_ingest_is_incremental(spark, tmp_path):
+    land, table = str(tmp_path / "landing"), str(tmp_path / "tb_01_fatura")
+    ckpt = str(tmp_path / "ckpt")
+
+    def drop(name, rows):
+        spark.createDataFrame(rows, RAW_INVOICE).coalesce(1).write.option("header", True).csv(f"{land}/{name}")
+
+    drop("a", [("1", "FAT-1", "2023-01-05", "2023-02-04", "10.00"), ("2", "FAT-2", "2023-01-06", "2023-02-05", "20.00")])
+    stamps = iter(["20230101000000", "20230201000000", "20230301000000"])
+    r1 = ingest_landing(spark, f"{land}/*", "fatura", table, checkpoint=ckpt, dt_proc_for=lambda b: next(stamps))
+    assert sum(r["total_registros"] for r in r1) == 2
+    drop("b", [("3", "FAT-3", "2023-02-01", "2023-03-03", "30.00")])
+    r2 = ingest_landing(spark, f"{land}/*", "fatura", table, checkpoint=ckpt, dt_proc_for=lambda b: next(stamps))
+    assert sum(r["total_registros"] for r in r2) == 1          # only the new file
+    back = spark.read.schema(INVOICES).parquet(table)
+    assert sorted(r.id_fatura for r in back.collect()) == [1, 2, 3]
