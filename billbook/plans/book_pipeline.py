@@ -38,7 +38,14 @@ def build_book(invoices: DataFrame, payments: DataFrame, dt_proc: str, ref_date:
     unpaid delay is measured to ``ref_date`` and windows are anchored on it;
     without it each client's newest emission date anchors its windows."""
     inv = invoices if ref_date is None else invoices_for_cohort(invoices, ref_date)
-    joined = invoice_payment_join(latest_invoices(inv), latest_payments(payments))
+    pay = payments
+    if ref_date is not None:
+        # Only payments of the cohort's invoices can match the left join:
+        # a semi join on the invoice key before the payment dedup (whose
+        # partitioning it shares) skips deduplicating every other payment.
+        # AQE turns it into a broadcast when the cohort's keys are small.
+        pay = payments.join(inv.select("id_cliente", "id_fatura"), ["id_cliente", "id_fatura"], "left_semi")
+    joined = invoice_payment_join(latest_invoices(inv), latest_payments(pay))
     stage = stage_invoices(classified(joined, ref_date), dt_proc)
     return BookResult(stage=stage, book=book_by_cohort(stage, dt_proc, anchor=ref_date))
 
