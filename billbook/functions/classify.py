@@ -174,3 +174,22 @@ def delay_band_filter(label: str | None) -> Column | None:
             return cond if edge is None else cond & (days <= F.lit(edge))
         lower = edge
     raise ValueError(f"unknown delay band {label!r}")
+
+
+STATUS_LABELS = [S.STATUS_UNPAID, S.STATUS_PARTIAL, S.STATUS_EARLY, S.STATUS_ON_TIME, S.STATUS_LATE]
+
+
+def label_rank(c: Column | str, labels=STATUS_LABELS) -> Column:
+    """Position (1-based) of a label in the *sorted* label set: an integer
+    whose max is the max label, so it aggregates in a hash aggregate
+    (a ``max`` over strings would force a sort-based aggregate)."""
+    c = _col(c)
+    ordered = sorted(labels)
+    expr = None
+    for i, label in enumerate(ordered, start=1):
+        expr = F.when(c == F.lit(label), F.lit(i)) if expr is None else expr.when(c == F.lit(label), F.lit(i))
+    return expr
+
+
+def label_from_rank(rank: Column, labels=STATUS_LABELS) -> Column:
+    return F.element_at(F.array(*[F.lit(x) for x in sorted(labels)]), rank)

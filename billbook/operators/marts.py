@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from billbook import schemas as S
+from billbook.functions.classify import label_from_rank, label_rank
 from billbook.functions import (
     delay_band,
     delay_band_filter,
@@ -137,28 +138,34 @@ def status_share(dist: DataFrame) -> DataFrame:
 def churn_evolution(vw: DataFrame) -> DataFrame:
     """Distinct clients per (month, retention category).
 
-    Present clients are categorised from their rows; clients of the base
-    with no row in a month count as inactive: ``base - present(month)``,
-    with the base a scalar subquery. No client x month grid is built.
+    One pre-aggregate per (month, client), combined map-side, tells which
+    categories the client shows in that month; a second aggregate per month
+    sums them. Clients of the base with no row in a month count as inactive:
+    ``base - present(month)``, the base being a scalar subquery. No client x
+    month grid is built.
     """
     base = vw.agg(F.count_distinct("id_cliente")).scalar()
     cat = retention_category("status", "id_fatura")
-    present = vw.select("data_referencia", "id_cliente", cat.alias("categoria_retencao"))
-    by_cat = present.groupBy("data_referencia", "categoria_retencao").agg(
-        F.count_distinct("id_cliente").alias("qtd_clientes")
-    )
-    absent = (
-        vw.groupBy("data_referencia")
-        .agg(F.count_distinct("id_cliente").alias("_p"))
-        .select("data_referencia", F.lit(S.RET_INACTIVE).alias("categoria_retencao"), (base - F.col("_p")).alias("qtd_clientes"))
+
+    def shows(label):
+        return F.max(F.when(cat == F.lit(label), F.lit(1)).otherwise(F.lit(0)))
+
+    per_client = vw.where(F.col("id_cliente").isNotNull()).groupBy("data_referencia", "id_cliente").agg(
+        shows(S.RET_ON_TIME).alias("_on_time"), shows(S.RET_LATE).alias("_late"), shows(S.RET_INACTIVE).alias("_inactive"),
     )
-    out = (
-        by_cat.unionByName(absent)
-        .groupBy("data_referencia", "categoria_retencao")
-        .agg(F.sum("qtd_clientes").alias("qtd_clientes"))
-        .where(F.col("qtd_clientes") > 0)
+    per_month = per_client.groupBy("data_referencia").agg(
+        F.sum("_on_time").alias(S.RET_ON_TIME),
+        F.sum("_late").alias(S.RET_LATE),
+        (F.sum("_inactive") + base - F.count(F.lit(1))).alias(S.RET_INACTIVE),
     )
-    return out.select(
+    stacked = per_month.select(
+        "data_referencia",
+        F.inline(F.array(*[
+            F.struct(F.lit(c).alias("categoria_retencao"), F.col(f"`{c}`").cast("bigint").alias("qtd_clientes"))
+            for c in (S.RET_ON_TIME, S.RET_LATE, S.RET_INACTIVE)
+        ])),
+    ).where(F.col("qtd_clientes") > 0)
+    return stacked.select(
         "data_referencia", month_label("data_referencia").alias("mes_ano"), "categoria_retencao", "qtd_clientes"
     ).orderBy("data_referencia", "categoria_retencao")
 
@@ -287,7 +294,11 @@ def top_risk_clients(vw: DataFrame, month: str | None = None, n: int = 20) -> Da
         F.count_distinct("id_fatura").alias("faturas_inadimplentes"),
         F.sum(F.col("valor_fatura") - F.col("valor_pagamento")).alias("saldo_devedor"),
         F.max("dias_atraso").alias("maior_atraso"),
-        F.max("status").alias("categoria_principal"),
+        F.max(label_rank("status")).alias("_status_rank"),
+    )
+    g = g.select(
+        "id_cliente", "faturas_inadimplentes", "saldo_devedor", "maior_atraso",
+        label_from_rank(F.col("_status_rank")).alias("categoria_principal"),
     )
     return g.orderBy(F.desc_nulls_last("saldo_devedor"), "id_cliente").limit(n)
 
