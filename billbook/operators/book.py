@@ -129,42 +129,40 @@ def book_long(stage: DataFrame, anchor=None) -> DataFrame:
     flags = {w: (F.lit(True) if k is None else (m <= F.lit(k))) for w, k in WINDOWS.items()}
     p = p.select("*", *[F.coalesce(c, F.lit(False)).alias(f"_in_{w}") for w, c in flags.items()])
 
+    # Wide expression lists are written as SQL expression strings: one
+    # JVM-side parse per column instead of a Py4J round trip per node.
     aggs = []
     for w in WINDOWS:
-        inw = F.col(f"_in_{w}")
-
-        def only(c, inw=inw):
-            return F.when(inw, F.col(c))
+        def only(c, w=w):
+            return f"CASE WHEN _in_{w} THEN {c} END"
 
         aggs += [
-            F.sum(only("n")).alias(f"n__{w}"),
-            F.sum(only("v_sum")).cast("decimal(25,2)").alias(f"v_sum__{w}"),
-            F.sum(only("v_cnt")).alias(f"v_cnt__{w}"),
-            F.min(only("v_min")).alias(f"v_min__{w}"),
-            F.max(only("v_max")).alias(f"v_max__{w}"),
-            F.sum(only("d_sum")).alias(f"d_sum__{w}"),
-            F.sum(only("d_cnt")).alias(f"d_cnt__{w}"),
-            F.min(only("d_min")).alias(f"d_min__{w}"),
-            F.max(only("d_max")).alias(f"d_max__{w}"),
+            f"sum({only('n')}) AS n__{w}",
+            f"CAST(sum({only('v_sum')}) AS DECIMAL(25,2)) AS v_sum__{w}",
+            f"sum({only('v_cnt')}) AS v_cnt__{w}",
+            f"min({only('v_min')}) AS v_min__{w}",
+            f"max({only('v_max')}) AS v_max__{w}",
+            f"sum({only('d_sum')}) AS d_sum__{w}",
+            f"sum({only('d_cnt')}) AS d_cnt__{w}",
+            f"min({only('d_min')}) AS d_min__{w}",
+            f"max({only('d_max')}) AS d_max__{w}",
         ]
-    g = p.groupBy("ref", "id_cliente", CLASS_COL).agg(*aggs)
-    out = [F.col("ref"), F.col("id_cliente"), F.col(CLASS_COL)]
+    g = p.groupBy("ref", "id_cliente", CLASS_COL).agg(*[F.expr(a) for a in aggs])
+    out = ["ref", "id_cliente", CLASS_COL]
     for w in WINDOWS:
         # AVG(decimal) = SUM / COUNT as decimal(20,0), then decimal(19,6):
         # the same evaluation Spark's Average uses, so results are identical.
-        v_avg = (F.col(f"v_sum__{w}") / F.col(f"v_cnt__{w}").cast("decimal(20,0)")).cast("decimal(19,6)")
-        d_avg = F.col(f"d_sum__{w}") / F.col(f"d_cnt__{w}")
         out += [
-            F.col(f"n__{w}").alias(f"qtd__{w}"),
-            F.col(f"v_sum__{w}").alias(f"vsum__{w}"),
-            v_avg.alias(f"vavg__{w}"),
-            F.col(f"v_min__{w}").alias(f"vmin__{w}"),
-            F.col(f"v_max__{w}").alias(f"vmax__{w}"),
-            d_avg.cast("double").alias(f"davg__{w}"),
-            F.col(f"d_min__{w}").cast("int").alias(f"dmin__{w}"),
-            F.col(f"d_max__{w}").cast("int").alias(f"dmax__{w}"),
+            f"n__{w} AS qtd__{w}",
+            f"v_sum__{w} AS vsum__{w}",
+            f"CAST(v_sum__{w} / CAST(v_cnt__{w} AS DECIMAL(20,0)) AS DECIMAL(19,6)) AS vavg__{w}",
+            f"v_min__{w} AS vmin__{w}",
+            f"v_max__{w} AS vmax__{w}",
+            f"CAST(d_sum__{w} AS DOUBLE) / CAST(d_cnt__{w} AS DOUBLE) AS davg__{w}",
+            f"CAST(d_min__{w} AS INT) AS dmin__{w}",
+            f"CAST(d_max__{w} AS INT) AS dmax__{w}",
         ]
-    return g.select(*out)
+    return g.selectExpr(*out)
 
 
 _LONG_NAME = {
@@ -187,16 +185,15 @@ def book_by_cohort(stage: DataFrame, dt_proc: str, anchor=None, specs: list[Metr
     """
     specs = specs or metric_specs()
     long = book_long(stage, anchor)
-    cls = F.col(CLASS_COL)
     cols = []
     for s in specs:
-        src = F.col(f"{_LONG_NAME[(s.value_col, s.agg)]}__{s.window}")
-        picked = F.max(F.when(cls == F.lit(s.cls), src))
+        src = f"{_LONG_NAME[(s.value_col, s.agg)]}__{s.window}"
+        picked = f"max(CASE WHEN {CLASS_COL} = '{s.cls}' THEN {src} END)"
         if s.agg == "SUM":
-            picked = F.coalesce(picked, F.lit(0).cast(src_type(s)))
-        cols.append(picked.alias(s.name))
+            picked = f"coalesce({picked}, CAST(0 AS {src_type(s)}))"
+        cols.append(F.expr(f"{picked} AS {s.name}"))
     wide = long.groupBy("ref", "id_cliente").agg(*cols)
-    return wide.select("ref", F.lit(dt_proc).alias("dt_proc"), "id_cliente", *[s.name for s in specs])
+    return wide.selectExpr("ref", f"'{dt_proc}' AS dt_proc", "id_cliente", *[s.name for s in specs])
 
 
 def src_type(s: MetricSpec) -> str:
@@ -226,21 +223,18 @@ def book_by_client(joined: DataFrame, run_date, ts_proc: str) -> DataFrame:
     """
     run = _anchor_col(run_date)
     rows = client_book_rows(joined, run)
-    st = F.col("status_pagamento")
-    cols = []
-    for c in CLIENT_BOOK_CLASSES:
-        cols.append(F.sum(F.when(st == c, F.lit(1))).alias(f"qtd_st_{c.lower()}"))
+    cols = [f"sum(CASE WHEN status_pagamento = '{c}' THEN 1 END) AS qtd_st_{c.lower()}" for c in CLIENT_BOOK_CLASSES]
     for w, k in WINDOWS.items():
         if k is None:
             continue
-        for c in CLIENT_BOOK_CLASSES:
-            cond = (F.col(f"flag_{w}") == 1) & (st == c)
-            cols.append(F.sum(F.when(cond, F.lit(1))).alias(f"qtd_st_{c.lower()}_{w}"))
-    for c in CLIENT_BOOK_CLASSES:
-        cols.append(F.sum(F.when(st == c, F.col("valor_fatura"))).alias(f"sum_st_{c.lower()}"))
-    g = rows.groupBy("id_cliente").agg(*cols)
+        cols += [f"sum(CASE WHEN flag_{w} = 1 AND status_pagamento = '{c}' THEN 1 END) AS qtd_st_{c.lower()}_{w}"
+                 for c in CLIENT_BOOK_CLASSES]
+    cols += [f"sum(CASE WHEN status_pagamento = '{c}' THEN valor_fatura END) AS sum_st_{c.lower()}"
+             for c in CLIENT_BOOK_CLASSES]
+    g = rows.groupBy("id_cliente").agg(*[F.expr(c) for c in cols])
     ref = F.date_format(run, "yyyyMMdd")
-    return g.select("id_cliente", ref.alias("ref"), F.lit(ts_proc).alias("ts_proc"), *[c for c in g.columns if c != "id_cliente"])
+    names = [c.rsplit(" AS ", 1)[1] for c in cols]
+    return g.select("id_cliente", ref.alias("ref"), F.lit(ts_proc).alias("ts_proc"), *names)
 
 
 # ----------------------------------------------------------------------------

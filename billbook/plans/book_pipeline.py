@@ -30,7 +30,14 @@ def invoices_lookback(invoices: DataFrame, since_ref: str) -> DataFrame:
 @dataclass
 class BookResult:
     stage: DataFrame
-    book: DataFrame
+    dt_proc: str
+    ref_date: str | None = None
+
+    @property
+    def book(self) -> DataFrame:
+        """Built on first use, so callers that need only the stage do not
+        pay for constructing the 200-column plan."""
+        return book_by_cohort(self.stage, self.dt_proc, anchor=self.ref_date)
 
 
 def build_book(invoices: DataFrame, payments: DataFrame, dt_proc: str, ref_date: str | None = None) -> BookResult:
@@ -47,7 +54,7 @@ def build_book(invoices: DataFrame, payments: DataFrame, dt_proc: str, ref_date:
         pay = payments.join(inv.select("id_cliente", "id_fatura"), ["id_cliente", "id_fatura"], "left_semi")
     joined = invoice_payment_join(latest_invoices(inv), latest_payments(pay))
     stage = stage_invoices(classified(joined, ref_date), dt_proc)
-    return BookResult(stage=stage, book=book_by_cohort(stage, dt_proc, anchor=ref_date))
+    return BookResult(stage=stage, dt_proc=dt_proc, ref_date=ref_date)
 
 
 @dataclass

@@ -4,13 +4,13 @@ when handed to a consumer that expects floating point."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 
 def decimals_to_double(df: DataFrame) -> DataFrame:
-    cols = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        cols.append(c.cast("double").alias(f.name) if isinstance(f.dataType, DecimalType) else c)
-    return df.select(*cols)
+    fields = df.schema.fields
+    if not any(isinstance(f.dataType, DecimalType) for f in fields):
+        return df
+    cols = [f"CAST(`{f.name}` AS DOUBLE) AS `{f.name}`" if isinstance(f.dataType, DecimalType) else f"`{f.name}`"
+            for f in fields]
+    return df.selectExpr(*cols)

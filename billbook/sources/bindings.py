@@ -26,8 +26,20 @@ PAYMENT_TIE_BREAKERS = ["id_pagamento", "l_partkey", "l_suppkey", "l_extendedpri
 # ---------------------------------------------------------------------------
 
 
+# Declared schemas of the source tables this library binds: with a schema
+# the reader skips the footer-inference job and reads only these columns.
+SOURCE_SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ",
+    "lineitem": ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                 "l_extendedprice DOUBLE, l_discount DOUBLE, l_returnflag STRING, l_shipdate TIMESTAMP_NTZ"),
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in SOURCE_SCHEMAS:
+        reader = reader.schema(SOURCE_SCHEMAS[name])
+    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
 
 
