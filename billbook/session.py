@@ -30,6 +30,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("BILLBOOK_DRIVER_MEMORY", "16g"))
+        # Local data is small: let AQE keep more (smaller) partitions so all
+        # cores work. Cluster sessions keep Spark's default floor.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
     )
     for k, v in DEFAULTS.items():
         builder = builder.config(k, v)
