@@ -31,7 +31,7 @@ from billbook.operators.joins import (
     stage_invoices,
 )
 from billbook.plans.book_pipeline import build_book, invoices_for_cohort, invoices_lookback
-from billbook.plans.output import decimals_to_double
+from billbook.plans.output import decimals_to_double, to_output
 from billbook.plans.trusted import (
     PAYMENT_REQUIRED,
     PAYMENT_SPEC_KEYS,
@@ -91,9 +91,10 @@ def _book(spark, sf, ref_date=None):
 
 
 def _out(fn):
-    """Wrap a query so its money columns leave as doubles."""
+    """Wrap a query for the output boundary (money -> double, days ->
+    midnight timestamps)."""
     def run(spark, sf):
-        return decimals_to_double(fn(spark, sf))
+        return to_output(fn(spark, sf))
     run.__name__ = getattr(fn, "__name__", "query")
     return run
 
@@ -556,4 +557,32 @@ QUERIES: dict[str, Query] = {
     "export_csv_semicolon": q_export_csv_semicolon,
 }
 
-QUERIES = {k: _out(v) for k, v in QUERIES.items()}
+def _nullable_int_columns() -> dict[str, list[str]]:
+    """Integer outputs that are NULL by definition when nothing matches (book
+    MIN/MAX of days, prototype-book counts, the payment id of an unpaid
+    invoice). They leave as DOUBLE like money, so a NULL-bearing integer
+    column has one representation across engines and dataframe libraries."""
+    days = [s.name for s in B.metric_specs() if s.value_col == B.DAYS_COL and s.agg in ("MIN", "MAX")]
+    counts = [f"qtd_st_{c.lower()}" for c in B.CLIENT_BOOK_CLASSES]
+    counts += [f"qtd_st_{c.lower()}_{w}" for w, k in S.WINDOWS.items() if k is not None for c in B.CLIENT_BOOK_CLASSES]
+    return {
+        **{q: days for q in ("book_by_cohort", "book_for_cohort", "book_keys_first", "book_sample", "view_book")},
+        "book_by_client": counts,
+        "sink_two_level_partition_roundtrip": counts,
+        "invoice_payment_join": ["id_pagamento"],
+    }
+
+
+NULLABLE_INTS = _nullable_int_columns()
+
+
+def _as_double(fn, cols):
+    def run(spark, sf):
+        df = fn(spark, sf)
+        wanted = set(cols)
+        return df.selectExpr(*[f"CAST(`{c}` AS DOUBLE) AS `{c}`" if c in wanted else f"`{c}`" for c in df.columns])
+    return run
+
+
+RAW_QUERIES = dict(QUERIES)
+QUERIES = {k: _out(_as_double(v, NULLABLE_INTS[k]) if k in NULLABLE_INTS else v) for k, v in QUERIES.items()}

@@ -72,3 +72,17 @@ def test_sample_queries_match_oracle(spark, sf_small):
                  "inactive_clients", "top_risk_clients", "client_recent_6", "trusted_invoices"]:
         r = compare(QUERIES[name](spark, sf_small), ORACLE[name], con)
         assert r["ok"], (name, r)
+
+
+def test_output_date_mapping_matches_spark_schemas(spark, sf_small):
+    from pyspark.sql.types import DateType, TimestampNTZType
+
+    from billbook.plans.catalog import QUERIES, RAW_QUERIES
+    from oracle.queries import OUTPUT_DATES
+
+    for name in ["view_integrated", "trusted_invoices_daily", "client_lifetime", "scan_csv_raw", "ref_from_text",
+                 "book_by_cohort", "churn_evolution"]:
+        raw_dates = [f.name for f in RAW_QUERIES[name](spark, sf_small).schema.fields if isinstance(f.dataType, DateType)]
+        assert raw_dates == OUTPUT_DATES.get(name, []), name
+        out = QUERIES[name](spark, sf_small).schema
+        assert all(isinstance(out[c].dataType, TimestampNTZType) for c in raw_dates)

@@ -16,6 +16,11 @@ from tools.compare import compare, duck
 
 
 def main(argv: list[str]) -> int:
+    import tools.compare as C
+
+    if argv and argv[0] == "--strict":
+        C.STRICT = True
+        argv = argv[1:]
     sf = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or list(QUERIES)
     spark = local_session(8)

@@ -20,13 +20,16 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+STRICT = False
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return repr(v) if STRICT else round(v, 6)
     if hasattr(v, "isoformat"):
         iso = v.isoformat()
         # A DATE may arrive as a midnight timestamp from one engine.
@@ -57,6 +60,10 @@ def compare(spark_df, sql: str, con) -> dict:
     o = o.astype(object).where(pd.notnull(o), None)
     res = {"spark_rows": len(s), "oracle_rows": len(o),
            "cols_match": sorted(s.columns) == sorted(o.columns)}
+    if STRICT and res["cols_match"]:
+        kinds = {c: (s[c].map(lambda x: type(x).__name__).value_counts().index.tolist()[:2],
+                     o[c].map(lambda x: type(x).__name__).value_counts().index.tolist()[:2]) for c in s.columns}
+        res["type_diff"] = {c: k for c, k in kinds.items() if set(k[0]) - {"NoneType"} != set(k[1]) - {"NoneType"}}
     if not res["cols_match"]:
         res["spark_only"] = sorted(set(s.columns) - set(o.columns))[:10]
         res["oracle_only"] = sorted(set(o.columns) - set(s.columns))[:10]
