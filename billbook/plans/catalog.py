@@ -9,7 +9,6 @@ month, client id) make every result repeatable.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +27,6 @@ from billbook.operators.joins import (
     invoice_payment_join,
     latest_invoices,
     latest_payments,
-    stage_invoices,
 )
 from billbook.plans.book_pipeline import build_book, invoices_for_cohort, invoices_lookback
 from billbook.plans.output import decimals_to_double, to_output

@@ -1,9 +1,8 @@
 """Trusted loads: raw text -> typed, checked, ``ref``-partitioned tables.
 
 The typed projections are single ``select``s of built-in expressions
-(whole-stage codegen); nothing is cached between the check and the write:
-the check is one grouped aggregation, and the write re-reads the raw input
-with a pruned projection.
+(whole-stage codegen). A load parses its raw text once: it writes to
+staging, checks the staged Parquet, then publishes (see ``load_trusted``).
 """
 
 from __future__ import annotations
@@ -14,7 +13,6 @@ from pyspark.sql import functions as F
 from billbook.functions import money, parse_date, parse_id, ref_from_date, ref_from_text
 from billbook.operators.observability import IntegritySpec, check_integrity, lineage_row, record_lineage
 from billbook.schemas import MONEY
-from billbook.sinks.parquet import append_partitioned
 
 INVOICE_SPEC_KEYS = ["ref", "dt_proc", "id_cliente", "id_fatura"]
 INVOICE_REQUIRED = ["ref", "dt_proc", "id_cliente", "id_fatura", "data_emissao", "valor_fatura"]
@@ -90,25 +88,45 @@ def load_trusted(
     lineage_path: str | None = None,
     source_name: str = "",
 ) -> dict:
-    """Type, check (fail fast, quality row appended either way), append the
-    table partitioned by ``ref`` and record lineage.
-
-    The reconciliation compares against the raw row count as a scalar
-    subquery inside the same check job.
+    """Type, check and append one raw load to its ``ref``-partitioned table.
+
+    The raw text is parsed once: typed rows are written to a hidden staging
+    folder of the table (``_staging/...``, ignored by readers) while an
+    ``Observation`` in the write stage counts them. The checks then run on
+    the staged Parquet (a columnar read of the key and required columns),
+    reconciling against that count; the quality row is appended either way.
+    Only when every check passes are the staged files moved into the table
+    (rename, no copy), so a failed load leaves the table untouched.
     """
+    import uuid
+
+    from pyspark.sql import Observation
+
+    from billbook.schemas import INVOICES, PAYMENTS
+    from billbook.sources.paths import publish
+
     if kind == "fatura":
-        typed, keys, req, table = trusted_invoices(raw, dt_proc), INVOICE_SPEC_KEYS, INVOICE_REQUIRED, "tb_01_fatura"
+        typed, keys, req, table, schema = trusted_invoices(raw, dt_proc), INVOICE_SPEC_KEYS, INVOICE_REQUIRED, "tb_01_fatura", INVOICES
     elif kind == "pagamento":
-        typed, keys, req, table = trusted_payments(raw, dt_proc), PAYMENT_SPEC_KEYS, PAYMENT_REQUIRED, "tb_02_pagamento"
+        typed, keys, req, table, schema = trusted_payments(raw, dt_proc), PAYMENT_SPEC_KEYS, PAYMENT_REQUIRED, "tb_02_pagamento", PAYMENTS
     else:
         raise ValueError(f"unknown load kind {kind!r}")
-    raw_count = raw.agg(F.count(F.lit(1))).scalar()
-    spec = IntegritySpec(keys=keys, not_null=req, expected=raw_count, tolerance=0.0)
-    report = check_integrity(typed, table, dt_proc, spec, quality_path)
-    append_partitioned(typed, table_path, ["ref"])
+    spark = raw.sparkSession
+    staging = f"{table_path.rstrip('/')}/_staging/{dt_proc}-{uuid.uuid4().hex[:8]}"
+    rows = Observation(f"{table}_rows_{uuid.uuid4().hex[:8]}")
+    # Observed after the rebalance: the count runs in the write (result)
+    # stage, where a retried task's update is applied only once.
+    out = typed.hint("rebalance", "ref").observe(rows, F.count(F.lit(1)).alias("n"))
+    out.write.mode("overwrite").partitionBy("ref").parquet(staging)
+    produced = int(rows.get["n"])
+
+    staged = spark.read.schema(schema).parquet(staging)
+    spec = IntegritySpec(keys=keys, not_null=req, expected=produced, tolerance=0.0)
+    report = check_integrity(staged, table, dt_proc, spec, quality_path)
+    publish(spark, staging, table_path)
     if lineage_path:
         record_lineage(
             lineage_path,
-            lineage_row(raw.sparkSession, table, dt_proc, report["total_registros"], f"raw/{kind}", source_name),
+            lineage_row(spark, table, dt_proc, report["total_registros"], f"raw/{kind}", source_name),
         )
     return report

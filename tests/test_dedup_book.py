@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from billbook.operators import book as B
 from billbook.operators.dedup import dedup_join_max_key, dedup_latest, snapshot_latest_batch
-from billbook.schemas import INVOICES, PAYMENTS
+from billbook.schemas import PAYMENTS
 
 D = dt.date
 

@@ -86,3 +86,19 @@ def test_output_date_mapping_matches_spark_schemas(spark, sf_small):
         assert raw_dates == OUTPUT_DATES.get(name, []), name
         out = QUERIES[name](spark, sf_small).schema
         assert all(isinstance(out[c].dataType, TimestampNTZType) for c in raw_dates)
+
+
+def test_failed_load_leaves_table_untouched(spark, tmp_path):
+    import pytest
+
+    from billbook.operators.observability import IntegrityError
+
+    root = str(tmp_path)
+    row = ("1", "FAT-1", "2023-01-05", "2023-02-04", "10.00")
+    raw_rows = spark.createDataFrame([row, row], S.RAW_INVOICE)          # duplicate key
+    with pytest.raises(IntegrityError):
+        load_trusted(raw_rows, "fatura", "20230101000000", f"{root}/tb", f"{root}/q", f"{root}/c", "x.csv")
+    q = spark.read.parquet(f"{root}/q").first()
+    assert q.status == "FALHOU" and q.chaves_duplicadas == 1
+    assert not [p for p in os.listdir(f"{root}/tb") if not p.startswith("_")]   # nothing published
+    assert not os.path.exists(f"{root}/c")                                      # no lineage for a failed load
