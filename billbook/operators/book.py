@@ -83,7 +83,10 @@ def window_flags(stage: DataFrame, anchor=None) -> DataFrame:
     a = _anchor_col(anchor)
     if a is None:
         anchors = stage.groupBy("id_cliente").agg(F.max("data_emissao").alias("_anchor"))
-        rows = stage.join(anchors, "id_cliente", "left")
+        anchors = anchors.withColumnRenamed("id_cliente", "_anchor_client")
+        # Null-safe: rows without a client share one anchor, as a window
+        # partition would give them (still an equi-join for the planner).
+        rows = stage.join(anchors, stage["id_cliente"].eqNullSafe(anchors["_anchor_client"]), "left")
         a = F.col("_anchor")
     else:
         rows = stage

@@ -103,3 +103,16 @@ def test_book_properties_on_test_tables(spark, sf_small):
     total = book.select(sum(F.col(f"qtd_transacoes_{c}_total") for c in classes).alias("n")).agg(F.sum("n")).first()[0]
     assert total == res.stage.where(F.col("fbc_classificacao_pagamento").isNotNull()).count()
     assert book.count() == res.stage.select("ref", "id_cliente").distinct().count()
+
+
+def test_row_flags_anchor_null_clients_together(spark):
+    rows = [
+        ("202301", "x", None, "PAGO_EM_DIA", D(2023, 1, 10), Decimal("1.00"), 0, 1),
+        ("202303", "x", None, "PAGO_EM_DIA", D(2023, 3, 10), Decimal("1.00"), 0, 1),
+        ("202301", "x", 5, "PAGO_EM_DIA", D(2023, 1, 10), Decimal("1.00"), 0, 1),
+    ]
+    got = sorted((r.id_cliente or 0, str(r.data_emissao), r.flg_u1m, r.flg_u3m) for r in B.window_flags(_stage(spark, rows)).collect())
+    # NULL clients: anchor 2023-03-10, so January is 2 months back (u1m 0, u3m 1); client 5 anchors on itself
+    assert got == [(0, "2023-01-10", 0, 1), (0, "2023-03-10", 1, 1), (5, "2023-01-10", 1, 1)]
+    wide = {r.id_cliente: r for r in B.book_by_cohort(_stage(spark, rows), "x").collect() if r.ref == "202301"}
+    assert wide[None].qtd_transacoes_pago_em_dia_u1m == 0 and wide[5].qtd_transacoes_pago_em_dia_u1m == 1
