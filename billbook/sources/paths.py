@@ -66,8 +66,13 @@ def list_entries(spark: SparkSession, folder: str, suffix: str = "") -> list[tup
 
 
 def set_times(spark: SparkSession, path: str, mtime_ms: int) -> None:
+    """Best effort: some object stores keep no settable modification time
+    (callers break mtime ties by name)."""
     fs, p = _fs(spark, path)
-    fs.setTimes(p, int(mtime_ms), -1)
+    try:
+        fs.setTimes(p, int(mtime_ms), -1)
+    except Exception:  # noqa: BLE001 - unsupported on this file system
+        pass
 
 
 def glob_files(spark: SparkSession, pattern: str) -> list[str]:
