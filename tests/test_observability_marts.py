@@ -106,3 +106,19 @@ def test_top_k_is_deterministic(spark):
 def test_ids_across_cohorts(spark):
     df = spark.createDataFrame([(1, "202301"), (1, "202302"), (1, "202302"), (2, "202301")], "id_fatura int, ref string")
     assert M.ids_across_cohorts(df, "id_fatura", "dup_fat").first()[0] == 1
+
+
+def test_delay_band_drilldown_does_not_leak_other_months(spark):
+    vw = _vw(spark).withColumn("valor_pagamento_minimo", F.lit(0).cast("decimal(15,2)"))
+    band1 = S.DELAY_BAND_ON_TIME          # an OR of two status patterns
+    got = M.invoice_detail_by_delay_band(vw, band=band1, month="202302").collect()
+    assert [(r.id_fatura, r.mes) for r in got] == [(12, "02/2023")]   # the January on-time invoice stays out
+
+
+def test_behaviour_drilldowns(spark):
+    vw = _vw(spark).withColumn("valor_pagamento_minimo", F.lit(10).cast("decimal(15,2)"))
+    full = {r.id_fatura for r in M.invoice_detail_by_behaviour(vw, behaviour=S.BEHAVIOUR_FULL).collect()}
+    below = {r.id_fatura for r in M.invoice_detail_by_behaviour(vw, behaviour=S.BEHAVIOUR_BELOW).collect()}
+    assert full == {10, 20, 12} and below == {11}
+    counts = {r.comportamento_minimo: r.qtd for r in M.minimum_payment_behaviour(vw).collect()}
+    assert counts == {S.BEHAVIOUR_FULL: 3, S.BEHAVIOUR_BELOW: 1}
