@@ -102,4 +102,6 @@ def publish(spark: SparkSession, staging: str, table: str) -> int:
         if not fs.rename(st.getPath(), dst):
             raise OSError(f"could not move {path} to {dst}")
         moved += 1
+    # Every data file has moved; drop the emptied staging tree (markers only).
+    fs.delete(src, True)
     return moved

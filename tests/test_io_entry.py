@@ -102,3 +102,13 @@ def test_failed_load_leaves_table_untouched(spark, tmp_path):
     assert q.status == "FALHOU" and q.chaves_duplicadas == 1
     assert not [p for p in os.listdir(f"{root}/tb") if not p.startswith("_")]   # nothing published
     assert not os.path.exists(f"{root}/c")                                      # no lineage for a failed load
+
+
+def test_publish_moves_files_and_clears_staging(spark, tmp_path):
+    from billbook.sources.paths import publish
+
+    df = spark.createDataFrame([("202301", 1), ("202302", 2)], "ref string, v int")
+    df.write.partitionBy("ref").parquet(str(tmp_path / "stg"))
+    n = publish(spark, str(tmp_path / "stg"), str(tmp_path / "tbl"))
+    assert n >= 2 and not os.path.exists(tmp_path / "stg")
+    assert sorted(r.v for r in spark.read.parquet(str(tmp_path / "tbl")).collect()) == [1, 2]
