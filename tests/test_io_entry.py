@@ -58,8 +58,7 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert len(df.columns) == 203 and df.count() > 0
     q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == {"client_summary_labels"}
+    assert set(o) == set(q)
 
 
 def test_sample_queries_match_oracle(spark, sf_small):
