@@ -3,7 +3,7 @@
 Runs each on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with
 ``local[$BENCH_CPUS]`` and prints one JSON line. Each query is materialised
 in full through the ``noop`` sink (no collect to the driver); the reported
-time per query is the best of ``$BENCH_PASSES`` passes (default 2) after a
+time per query is the best of ``$BENCH_PASSES`` passes (default 3) after a
 JVM warm-up.
 """
 
@@ -46,7 +46,7 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    passes = int(os.environ.get("BENCH_PASSES", "2"))
+    passes = int(os.environ.get("BENCH_PASSES", "3"))
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")))
     run(QUERIES["mart_kpis"](spark, sf_dir))  # warm-up: JVM, codegen caches
     times: dict[str, float] = {}
