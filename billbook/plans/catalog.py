@@ -304,7 +304,7 @@ def q_integrity_report_book(spark, sf):
     return O.integrity_report(_book(spark, sf), "book_fatura", DT_PROC, spec)
 
 
-def q_integrity_reconcile_stale(spark, sf):
+def q_integrity_report_dedup(spark, sf):
     t = _tables(spark, sf)
     deduped = latest_payments(t.payments)
     expected = t.payments.agg(F.count(F.lit(1))).scalar()
@@ -499,7 +499,7 @@ QUERIES: dict[str, Query] = {
     "integrity_reconcile": q_integrity_reconcile,
     "integrity_report": q_integrity_report,
     "integrity_report_book": q_integrity_report_book,
-    "integrity_report_dedup": q_integrity_reconcile_stale,
+    "integrity_report_dedup": q_integrity_report_dedup,
     "lineage_row": q_lineage_row,
     "control_row": q_control_row,
     "row_counts_by_table": q_row_counts_by_table,

@@ -42,7 +42,8 @@ def book_sql(dt_proc: str, ref_date: str | None = None) -> str:
 
 def client_book_sql(run_date: str, ts_proc: str) -> str:
     order = ("PAGO_EM_DIA", "PAGO_EM_ATRASO", "PAGAMENTO_ANTECIPADO", "NAO_PAGO", "PAGAMENTO_PARCIAL")
-    tm = f"CAST(trunc({months_between(f'DATE {chr(39)}{run_date}{chr(39)}', 'data_emissao')}) AS INTEGER)"
+    run = "DATE '" + run_date + "'"
+    tm = f"CAST(trunc({months_between(run, 'data_emissao')}) AS INTEGER)"
     cols = [f"CAST(SUM(CASE WHEN st = '{c}' THEN 1 END) AS BIGINT) AS qtd_st_{c.lower()}" for c in order]
     for w, k in BOOK_WINDOWS:
         if k is None:
