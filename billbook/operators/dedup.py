@@ -32,16 +32,20 @@ def dedup_latest(
 
 
 def dedup_join_max_key(df: DataFrame, keys: Sequence[str], version_col: str = "dedup_key") -> DataFrame:
-    """Keep rows whose ``version_col`` equals the maximum of their key group.
-
-    Ties on the maximum are all kept (join semantics). The per-key maximum is
-    a partial (map-side combined) aggregate; the join back is an equi-join on
-    the keys that AQE can split when one key is hot.
+    """Keep rows whose ``version_col`` equals the maximum of their key group
+    (all rows tied at the maximum are kept, as a join to the per-key maximum
+    would; NULL keys and NULL versions never match).
+
+    Planned as ``rank() = 1``: Catalyst turns it into a partial
+    ``WindowGroupLimit`` before the single shuffle on the keys, so a hot key
+    ships only its locally-newest rows per task, and no sort-based
+    aggregate over the (string) version is needed.
     """
-    mx = df.groupBy(*keys).agg(F.max(version_col).alias("_max_version"))
-    mx = mx.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_max_version")
-    cond = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col(version_col) == F.col("_max_version")]
-    return df.join(mx, cond, "inner").select(*df.columns)
+    valid = F.col(version_col).isNotNull()
+    for k in keys:
+        valid = valid & F.col(k).isNotNull()
+    w = Window.partitionBy(*keys).orderBy(F.col(version_col).desc())
+    return df.where(valid).withColumn("_rk", F.rank().over(w)).where(F.col("_rk") == 1).drop("_rk")
 
 
 def snapshot_latest_batch(df: DataFrame, version_col: str = "dedup_key") -> DataFrame:

@@ -114,3 +114,9 @@ def test_book_matches_brute_force_on_a_hot_client(spark):
                 assert (u is None and v is None) or abs(u - v) < 1e-9
             else:
                 assert u == v
+
+
+def test_per_key_max_is_a_ranked_group_limit(spark, sf_small):
+    p = _static_plan(spark, QUERIES["dedup_join_max_key"](spark, sf_small))
+    assert "SortAggregate" not in p
+    assert p.index("Exchange hashpartitioning(id_cliente") < p.index("1, Partial")
