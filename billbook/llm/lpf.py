@@ -12,14 +12,16 @@ row per run is sorted, by the hash of its anchor:
 
 1. a run whose bytes all occur in an earlier run is a whole match;
 2. of anchors that stand in different bytes (where a match begins or ends),
-   the first run of each different content is opened into its starts, whose
-   LENGTH-byte prefixes are sorted in turn. In that order the previous smaller
-   place with the same prefix is the previous factor; only the smallest place
-   of each prefix has none.
+   the first run of each different content is looked at closely. Its starts
+   fall into QUARTERS by their distance to the anchor; all strings of a
+   quarter share 83 bytes around the anchor, so only quarters whose 83 bytes
+   occur in another run can match. Their starts' LENGTH-byte prefixes are
+   sorted in turn: in that order the previous smaller place with the same
+   prefix is the previous factor; only the smallest place has none.
 
-Rows of one anchor are combined per batch before the shuffle, and the first
-places are found by grouped minima joined back, so a line shared by a third of
-all documents is not one task.
+Rows of one anchor, and starts of one prefix, are combined per batch before
+the shuffle, and the first runs are found by grouped minima joined back, so a
+line shared by a third of all documents is not one task.
 
 Edge cases: null and texts shorter than LENGTH bytes lose nothing; rows that
 share doc_id and text are one document and get one result each; rows that
@@ -45,6 +47,8 @@ K = 32
 STRETCH = 1 << 22
 PLACE_BITS = np.uint64(24)
 
+QUARTERS = 4
+SEGMENTS = "doc_id long, tag int, lo int, bytes binary, quarters array<struct<h:long,first:int,n:int>>"
 RUNS = "doc_id long, tag int, key long, kind int, g long, f long, lo int, n int"
 
 
@@ -147,33 +151,92 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     varied = first.groupBy("g").agg(F.count("*").alias("v")).filter("v > 1").select("g")
     edges = (first.join(varied, "g").select("at.*", "g", "n")
              .groupBy("doc_id", "tag").agg(F.collect_list(F.struct("g", "lo", "n")).alias("runs")))
+    d, e = _tagged(docs).alias("d"), edges.alias("e")
+    texts = d.join(e, F.col("d.doc_id").eqNullSafe(F.col("e.doc_id")) & (F.col("d.tag") == F.col("e.tag"))).select("d.doc_id", "d.text", "d.tag", "e.runs")
 
-    def open_runs(batches):
+    def segment(batches):
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            lists = batch.column(3)
             for i in range(len(batch)):
-                own = lists[i].values
+                own = batch.column(3)[i].values
                 g, lo, n = (own.field(c).to_numpy() for c in range(3))
-                at = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-                rolling = RangeHash(data[offsets[i]: offsets[i + 1]])
-                h = rolling(at, at + length)
-                size = len(at)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(np.full(size, i))), batch.column(2).take(pa.array(np.full(size, i))),
-                     long_array(mix64(h ^ np.repeat(g, n).view(np.uint64))), pa.array(at.astype(np.int32))],
-                    names=["doc_id", "tag", "h", "lo"])
-
-    d = _tagged(docs).alias("d")
-    e = edges.alias("e")
-    texts = d.join(e, F.col("d.doc_id").eqNullSafe(F.col("e.doc_id")) & (F.col("d.tag") == F.col("e.tag"))).select("d.doc_id", "d.text", "d.tag", "e.runs")
-    starts = materialize(texts.mapInArrow(open_runs, "doc_id long, tag int, h long, lo int"), "starts")
-    least = starts.groupBy("h").agg(F.min(here).alias("at"), F.count("*").alias("c")).filter("c > 1").select("h", "at")
-    late = (starts.join(least, "h").filter(~here.eqNullSafe(F.col("at")))
+                yield _segments(batch, i, data[offsets[i]: offsets[i + 1]], g.view(np.uint64), lo, n, length)
+
+    segments = materialize(texts.mapInArrow(segment, SEGMENTS), "segments")
+    quarters = segments.select("doc_id", "tag", "lo", F.explode("quarters").alias("q")).select("doc_id", "tag", "lo", "q.*")
+    common = quarters.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select("h")
+    wanted = (quarters.join(common, "h").groupBy("doc_id", "tag", "lo")
+              .agg(F.collect_list(F.struct("first", "n")).alias("parts")))
+    x, y = segments.drop("quarters").alias("x"), wanted.alias("y")
+    opened = x.join(y, F.col("x.doc_id").eqNullSafe(F.col("y.doc_id")) & (F.col("x.tag") == F.col("y.tag")) & (F.col("x.lo") == F.col("y.lo"))
+                    ).select("x.doc_id", "x.tag", "x.lo", "x.bytes", "y.parts")
+
+    def open_starts(batches):
+        for batch in batches:
+            raw = batch.column(3)
+            data = np.frombuffer(b"".join(raw.to_pylist()), dtype=np.uint8)
+            base = np.concatenate(([0], np.cumsum([len(r.as_buffer()) for r in raw])))
+            parts = batch.column(4)
+            row = np.repeat(np.arange(len(batch)), [len(p) for p in parts])
+            flat = parts.flatten()
+            first, n = flat.field(0).to_numpy().astype(np.int64), flat.field(1).to_numpy().astype(np.int64)
+            lo = batch.column(2).to_numpy().astype(np.int64)
+            at = np.repeat(first - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+            row = np.repeat(row, n)
+            inside = at - lo[row] + base[row]
+            h = RangeHash(data)(inside, inside + length)
+            # Of equal prefixes in this batch only the first place has to meet the others.
+            doc = np.array([-(1 << 63) if v is None else v for v in batch.column(0).to_pylist()], dtype=np.int64)
+            tag = batch.column(1).to_numpy().astype(np.int64)
+            order = np.lexsort((at, tag[row], doc[row], h))
+            row, at, h = row[order], at[order], h[order]
+            late = np.zeros(len(h), dtype=bool)
+            late[1:] = h[1:] == h[:-1]
+            key = np.where(late, mix64(h + np.arange(len(h), dtype=np.uint64)), h)
+            picked = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(picked), batch.column(1).take(picked), long_array(key), pa.array(at.astype(np.int32)), pa.array(late)],
+                names=["doc_id", "tag", "key", "lo", "late"])
+
+    starts = opened.mapInArrow(open_starts, "doc_id long, tag int, key long, lo int, late boolean")
+    later = F.row_number().over(Window.partitionBy("key").orderBy("late", "doc_id", "tag", "lo"))
+    late = (starts.withColumn("place", later).filter("place > 1 or late")
             .select("doc_id", "tag", F.col("lo").alias("start"), (F.col("lo") + length).alias("stop")))
     return whole.unionAll(late)
 
 
+def _segments(batch: pa.RecordBatch, i: int, data: np.ndarray, g: np.ndarray, lo: np.ndarray, n: np.ndarray, length: int) -> pa.RecordBatch:
+    """The bytes of a document's edge runs, and per run the quarters: hash of
+    the bytes all its strings share, first start, number of starts."""
+    rolling, w, step = RangeHash(data), length - K + 1, (length - K) // QUARTERS
+    # The anchor is the first place from the run's last start on that has hash g.
+    reach = np.arange(w)
+    place = np.minimum((lo + n - 1)[:, None] + reach, len(data) - K)
+    anchor = place[np.arange(len(g)), (rolling(place, place + K) == g[:, None]).argmax(axis=1)]
+    rows, firsts, counts, hashes = [], [], [], []
+    for q in range(QUARTERS):
+        # Starts between a - far and a - near, cut to the run.
+        near, far = q * step, (q + 1) * step - 1 if q < QUARTERS - 1 else length - K
+        a, b = np.maximum(lo, anchor - far), np.minimum(lo + n - 1, anchor - near)
+        some = np.flatnonzero(a <= b)
+        begin = anchor[some] - near
+        end = anchor[some] - far + length
+        rows.append(some)
+        firsts.append(a[some])
+        counts.append(b[some] - a[some] + 1)
+        hashes.append(mix64(rolling(begin, end) + np.uint64(q + 1) * np.uint64(0xD6E8FEB86659FD93)))
+    row = np.concatenate(rows)
+    order = np.argsort(row, kind="stable")
+    first, count, h = (np.concatenate(c)[order] for c in (firsts, counts, hashes))
+    cuts = np.searchsorted(row[order], np.arange(len(g) + 1)).astype(np.int32)
+    quarters = pa.StructArray.from_arrays([long_array(h), pa.array(first.astype(np.int32)), pa.array(count.astype(np.int32))], names=["h", "first", "n"])
+    same = pa.array(np.full(len(g), i))
+    return pa.RecordBatch.from_arrays(
+        [batch.column(0).take(same), batch.column(2).take(same), pa.array(lo.astype(np.int32)),
+         pa.array([data[x: x + y + length - 1].tobytes() for x, y in zip(lo, n)], pa.binary()),
+         pa.ListArray.from_arrays(pa.array(cuts), quarters)], names=["doc_id", "tag", "lo", "bytes", "quarters"])
+
+
 def cut(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, int, int]:
     """(bytes left, bytes removed, maximal removed stretches)."""
     if not len(start):
