@@ -40,6 +40,8 @@ PRECISION = 0.96
 #: ... and it is in so many toxic sample documents, or in this share of them.
 LEAST = (3, 0.01)
 FUZZY_PRECISION = 0.6
+#: Only terms in this share of the toxic sample are looked for misspelled.
+FUZZY_SUPPORT = 0.05
 #: Edits allowed, by the term's length.
 EDITS = ((9, 2), (5, 1))
 WINDOW = 3
@@ -214,8 +216,9 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> dict:
     chosen = {t for t, b in frequent.items() if b / (b + good.get(t, 0) + 0.3) >= PRECISION}
     # A longer stem or the whole word adds nothing where a shorter stem is kept.
     lexicon = {t for t in chosen if not any(t.rstrip("$")[:n] in chosen and t.rstrip("$")[:n] != t for n in range(STEM_LETTERS[0], len(t.rstrip("$")) + 1))}
-    # Misspelling is judged on whole words; a stem matches any ending as it is.
-    spelled = {t for t in chosen if t.endswith("$") and edits_for(len(t) - 1) and len(t) <= LONGEST - 1}
+    # Misspelling is judged on whole words that many toxic texts share; a stem matches any ending as it is.
+    spelled = {t for t in chosen if t.endswith("$") and edits_for(len(t) - 1) and len(t) <= LONGEST - 1
+               and frequent[t] >= FUZZY_SUPPORT * n_bad}
 
     def fuzzy_hits(batches):
         scorer, seen = Scorer(lexicon, spelled), Counter()
