@@ -40,6 +40,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` starts so."""
+    while any(c.lower().startswith(name.lower()) for c in df.columns):
+        name += "_"
+    return name
+
+
 def train_row(doc_id: Column) -> Column:
     """True for rows that models may learn from: crc32 of the id's text,
     modulo 3, is not 1. A null id is held out of training."""

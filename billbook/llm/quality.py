@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billbook.llm.common import materialize
+from billbook.llm.common import free_name, materialize
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -180,3 +180,9 @@ def quality_rows(docs: DataFrame) -> DataFrame:
     return featured.select(
         "doc_id", *[q[k].alias(k) for k in FEATURES[:5]],
         failed.alias("base_failed"), (~failed & (good >= 0.5)).alias("kept"), good.alias("p_good"))
+
+
+def good_documents(docs: DataFrame) -> DataFrame:
+    """``docs`` without the rows that the verdict rejects."""
+    out = free_name(docs, "quality_features")
+    return with_quality(docs, out=out).filter(f"{out}_kept").select(*docs.columns)

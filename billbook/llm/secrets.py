@@ -11,7 +11,8 @@ A rule without a mandatory trigram (``hex``) scans every text.
 Offsets are code points. Edge cases: a null or empty text has no spans; rows
 sharing a ``doc_id`` (or a null id) share their postings, which only adds
 candidates, and each is verified on its own text; an empty table gives no rows;
-extra columns are ignored by ``secret_spans`` unless named in ``keep``.
+extra columns are ignored unless named in ``keep``; ``redact`` keeps them all,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -183,12 +184,14 @@ def _spans(text: Column, number: int, rule: Rule) -> Column:
 
 def secret_spans(docs: DataFrame, rules: list[Rule] = RULES, doc_id: str = "doc_id", text: str = "text",
                  keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id``, ``keep`` columns and ``secret_spans``: every rule's spans,
-    by start, then rule order."""
+    """``doc_id``, ``text``, ``secret_row`` (a struct of the ``keep`` columns)
+    and ``secret_spans``: every rule's spans, by start, then rule order."""
     hits = candidates(postings(docs, rules, doc_id, text), rules)
-    rows = docs.select(doc_id, text, *[c for c in keep if c not in (doc_id, text)])
-    joined = rows.join(hits.hint("shuffle_hash"), rows[doc_id].eqNullSafe(hits["candidate_id"]), "left")
-    t = F.col(text)
+    # What is carried along sits in one struct, so its names can't clash.
+    carried = [F.struct(*[F.col(c) for c in keep]).alias("secret_row")] if keep else []
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *carried)
+    joined = rows.join(hits.hint("shuffle_hash"), rows["doc_id"].eqNullSafe(hits["candidate_id"]), "left")
+    t = F.col("text")
     none = F.array().cast("array<struct<start:int,kind:int,stop:int>>")
     found = []
     for number, rule in enumerate(rules):
@@ -237,4 +240,4 @@ def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
 
     cleaned = F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(t, a["at"] + 1, F.length(t))))
     text = F.when(F.size(spans) > 0, cleaned).otherwise(t)
-    return found.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    return found.select(*[text.alias(c) if c == "text" else F.col("secret_row")[c].alias(c) for c in docs.columns])

@@ -139,7 +139,7 @@ class Scorer:
                 found = (stem, 0)
             elif 4 <= len(word) <= LONGEST and self.heads and (
                     word.startswith(self.heads) or word.endswith(self.tails) or any(m in word for m in self.middles)):
-                found = match(self.fuzzy_trie, word, edits_for(len(word) + 1))
+                found = match(self.fuzzy_trie, word, edits_for(len(word) + 2))
         if len(self.cache) >= CACHE:
             self.cache.clear()
         self.cache[word] = found

@@ -1,0 +1,367 @@
+"""Each operator against a brute-force version, a library or held-out labels,
+and on edge rows (nulls, empty and long texts, repeated rows, empty tables,
+extra columns)."""
+
+import collections
+import hashlib
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from billbook.llm import bpe, decontam, langid, licenses, lpf, minhash, quality, ring, secrets, toxicity
+from billbook.llm.components import components
+from billbook.llm.queries import QUERIES, TOKENIZERS
+
+BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def shingles(text, n):
+    w = WORD.findall((text or "").encode().lower())
+    return frozenset(zip(*[w[i:] for i in range(n)])) if len(w) >= n else frozenset([tuple(w)] if w else [])
+
+
+def linked(sets, percent):
+    parent = {d: d for d in sets}
+
+    def root(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[:i]:
+            x, y = sets[a], sets[b]
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
+                p, q = sorted((root(a), root(b)))
+                parent[q] = p
+    return {d: root(d) for d in sets}
+
+
+@pytest.mark.parametrize("words", [2, 5])
+def test_near_duplicates_equal_brute_force(spark, sf_small, corpus, words):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    got = {r["doc_id"]: r for r in minhash.near_duplicate_rows(docs, words, 80).collect()}
+    sets = {d: shingles(t, words) for d, t in corpus.items()}
+    want = linked(sets, 80)
+    assert {d: r["component_id"] for d, r in got.items()} == want
+    assert {d: r["n_shingles"] for d, r in got.items()} == {d: len(s) for d, s in sets.items()}
+    assert all(r["kept"] == (r["component_id"] == d) for d, r in got.items())
+
+
+def test_near_copies_in_a_large_group(make_docs):
+    import random
+    rnd = random.Random(3)
+    base = [f"w{rnd.randrange(5000)}" for _ in range(120)]
+    rows = []
+    for i in range(120):
+        w = list(base)
+        for _ in range(rnd.choice([0, 1, 3, 6, 8, 12])):
+            w[rnd.randrange(len(w))] = f"x{rnd.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    want = linked({d: shingles(t, 2) for d, t in rows}, 80)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicate_rows(make_docs(rows), 2, 80).collect()}
+    assert got == want
+
+
+def test_near_duplicates_edge_rows(edge_docs, make_docs):
+    got = collections.defaultdict(list)
+    for r in minhash.near_duplicate_rows(edge_docs, 2, 80).collect():
+        got[r["doc_id"]].append((r["n_shingles"], r["component_id"], r["kept"]))
+    assert got[1] == [(0, 1, True)] and got[2] == [(0, 2, True)] and got[3] == [(0, 3, True)]
+    assert got[4] == [(1, 4, True)] and got[5] == [(6, 5, True)] * 2 and got[6] == [(6, 5, False)]
+    assert got[8][0][1] == 7 and got[None][0][0] == 3
+    kept = sorted(str(r["doc_id"]) for r in minhash.without_near_duplicates(edge_docs, 5).collect())
+    assert kept == ["1", "2", "3", "4", "5", "7", "None"]
+    assert minhash.near_duplicate_rows(make_docs([])).count() == 0
+
+
+def test_components_of_a_chain(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (5, 5)], "a long, b long")
+    got = {r["node"]: r["component"] for r in components(links).collect()}
+    assert all(got[i] == 0 for i in range(61)) and got[101] == got[100] == 100
+
+
+def test_bpe_equals_the_library(make_docs, corpus, edge_docs):
+    tokenizers = pytest.importorskip("tokenizers")
+    reference = tokenizers.Tokenizer.from_file(BPE)
+    extra = ["", "<|endoftext|> a<|endoftext|>", "  two  spaces\n\n\ttabs ", "日本語 ñandú ß ﬁ  x　y", "don't we'll 123abc!?..", "\x1c\x1f\x85 a", "aaaaaaaaaaaaaaa" * 20]
+    texts = list(corpus.values())[:60] + extra
+    codec = bpe.Codec(bpe.load(BPE))
+    for t in texts:
+        ids = reference.encode(t, add_special_tokens=False).ids
+        assert codec.encode(t) == ids
+        assert codec.decode(ids) == reference.decode(ids, skip_special_tokens=False)
+    rows = {r["doc_id"]: r for r in bpe.token_rows(make_docs(list(enumerate(texts))), BPE, keep_ids=True).collect()}
+    for i, t in enumerate(texts):
+        ids = reference.encode(t, add_special_tokens=False).ids
+        assert rows[i]["ids"] == ids and rows[i]["n_tokens"] == len(ids)
+        assert rows[i]["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert rows[i]["decoded_sha256"] == hashlib.sha256(reference.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    assert bpe.token_rows(edge_docs, BPE).count() == 10
+    assert {r["n_tokens"] for r in bpe.token_rows(edge_docs.filter("doc_id <= 2"), BPE).collect()} == {0}
+
+
+def test_bpe_encodes_every_token_and_random_bytes():
+    tokenizers = pytest.importorskip("tokenizers")
+    import random
+    reference, codec, rnd = tokenizers.Tokenizer.from_file(BPE), bpe.Codec(bpe.load(BPE)), random.Random(1)
+    for _ in range(3000):
+        t = "".join(rnd.choice("etaoinshrdlu ETA'éüñß0123.,\n") for _ in range(rnd.randrange(1, 40)))
+        assert codec.encode(t) == reference.encode(t, add_special_tokens=False).ids
+
+
+def test_ring_shards(spark, sf_small, corpus, edge_docs):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    rows = ring.shard_rows(docs).collect()
+    by = collections.defaultdict(list)
+    for r in rows:
+        by[r["shard"]].append(r["slot"])
+        data = corpus[r["doc_id"]].encode()
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(data) + 8, zlib.crc32(data), "rows", None)
+    assert sorted(by) == list(range(24)) and max(map(len, by.values())) - min(map(len, by.values())) <= 1
+    assert all(sorted(s) == list(range(len(s))) for s in by.values())
+    assert sum(r["shard"] == r["home_shard"] for r in rows) > 0.6 * len(rows)  # limited movement
+    edge = ring.shard_rows(edge_docs, shards=3).collect()
+    assert len(edge) == 10 and {r["size"] for r in edge if r["doc_id"] in (1, 2)} == {8}
+    assert {r["text_crc32"] for r in edge if r["doc_id"] in (1, 2)} == {0}
+    assert ring.shard_rows(edge_docs.limit(0)).count() == 0
+
+
+def test_toxicity_matches_misspellings_and_context():
+    s = toxicity.Scorer({"idiot$", "moro"}, {"idiot$", "worthless$"})
+    assert s.look("idiot") == ("idiot$", 0) and s.look("ideot") == ("idiot$", 1) and s.look("moronic") == ("moro", 0)
+    assert s.look("wrthles") == ("worthless$", 2) and s.look("indigo") is None
+    abuse, quoted = s.features("you idiot")[0], s.features('he said "idiot" was a word')[0]
+    assert abuse == 1 and quoted < abuse and s.features(None) == (0, 0, 0) and s.features("") == (0, 0, 0)
+
+
+@pytest.mark.parametrize("word", ["stupid", "stupd", "stuppid", "stubid", "stapud", "st", "xstupid"])
+def test_levenshtein_walk_equals_distance(word):
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+    found = toxicity.match(toxicity.build_trie(["stupid$", "clown$"]), word, 1)
+    assert (found is not None) == (distance(word, "stupid") <= 1)
+
+
+def test_toxicity_held_out(spark, edge_docs):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.fit(docs, labels)
+    rows = toxicity.toxicity_rows(docs, labels, model).join(labels, "doc_id").filter("held_out").collect()
+    bad, good = [r for r in rows if r["toxic"]], [r for r in rows if not r["toxic"]]
+    assert sum(r["predicted"] for r in bad) >= 0.6 * len(bad) and sum(r["predicted"] for r in good) <= 0.02 * len(good)
+    edge = toxicity.toxicity_rows(edge_docs, labels, model).collect()
+    assert len(edge) == 10 and all(0 <= r["score"] <= 1 for r in edge)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in edge if r["doc_id"] is not None)
+    assert toxicity.toxicity_rows(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_language_held_out(spark, edge_docs, make_docs):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs)
+    rows = langid.language_rows(docs, model).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.97 * len(rows)
+    assert {r["lang_pred"] for r in langid.language_rows(edge_docs, model).filter("doc_id in (1, 2, 3)").collect()} == {"und"}
+    assert langid.language_rows(make_docs([(3, "12 34 --")]), model).collect()[0]["lang_pred"] == "und"
+    assert langid.language_rows(docs.limit(0)).count() == 0
+
+
+def brute_quality(text):
+    text = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
+    count, cover, seen, dup = collections.Counter(windows), set(), set(), 0
+    for i, x in enumerate(windows):
+        if count[x] > 1:
+            cover.update(range(i, i + 5))
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    return len(w), sum(map(len, w)), sum(text.count(c) for c in "#*$%&|<>"), dup, len(cover)
+
+
+def test_quality_counts_and_verdict(spark, sf_small, corpus, edge_docs):
+    rows = quality.quality_rows(spark.read.parquet(f"{sf_small}/documents.parquet")).collect()
+    for r in rows:
+        want = brute_quality(corpus[r["doc_id"]])
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == want
+        assert r["base_failed"] == (want[0] < 10 or 100 * want[4] > 20 * want[0])
+        assert not (r["kept"] and r["base_failed"]) and r["kept"] == (not r["base_failed"] and r["p_good"] >= 0.5)
+    for r in quality.quality_rows(edge_docs).filter("doc_id in (1, 2, 3)").collect():
+        assert (r["n_words"], r["base_failed"], r["kept"]) == (0, True, False)
+    assert quality.quality_rows(edge_docs.limit(0)).count() == 0
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    judged = quality.quality_rows(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).join(labels, "doc_id").collect()
+    assert not [r for r in judged if r["quality"] == 1 and not r["kept"] and not r["base_failed"]][3:]
+    bad = [r for r in judged if r["quality"] == 0]
+    assert sum(not r["kept"] for r in bad) >= 0.9 * len(bad)
+
+
+def test_em_separates_known_accuracies():
+    k = len(quality.RULES)
+    good, bad = tuple([1] * (k - 1) + [2]), tuple([1, 0] + [1] * (k - 3) + [0])
+    model = quality.fit_votes([(good, 900), (bad, 100)])
+    assert 0.85 < model["prior"] < 0.95 and model["weights"][1][0] < -2 and model["weights"][k - 1][2] > 0
+    assert quality.fit_votes([])["prior"] == 0.5
+
+
+def test_license_scan(make_docs, edge_docs):
+    texts = ["a CC  BY-NC 4.0 text, GNU general-public LICENSE and the mit license", "nothing here", "summit license",
+             "x " * 50 + "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+             "associated documentation files to deal in the Software without restriction " + "y " * 30]
+    rows = {r["doc_id"]: r for r in licenses.license_rows(make_docs(list(enumerate(texts)))).collect()}
+    assert (rows[0]["n_base"], rows[0]["first_word"], rows[0]["last_word"]) == (3, 1, 13)
+    assert rows[0]["base_labels"] == "cc-by,gpl,mit" and rows[0]["score"] == 1
+    assert (rows[1]["labels"], rows[1]["n_words"], rows[1]["first_word"]) == ("", 2, None)
+    assert rows[2]["n_base"] == 0 and rows[3]["labels"] == "mit" and rows[3]["n_base"] == 0 and rows[3]["score"] >= 0.8
+    edge = licenses.license_rows(edge_docs).collect()
+    assert len(edge) == 10 and {r["n_words"] for r in edge if r["doc_id"] in (1, 2, 3)} == {0}
+    assert licenses.license_rows(edge_docs.limit(0)).count() == 0
+
+
+def test_license_blocks_equal_brute_force(corpus):
+    for label, text in licenses.TEMPLATES:
+        words = licenses.words_of(text.encode())
+        t = licenses.Template(label, text, {}, 0.8)
+        for around in ([], [b"q"] * 7, [b"the", b"license"] * 9):
+            doc = around + words + around
+            blocks = [set(doc[i: i + 2 * len(words)]) for i in range(0, len(doc), len(words))]
+            best = max(len(b & set(words)) for b in blocks) / len(set(words))
+            assert t.best(doc) == pytest.approx(best if best >= 0.8 else 0)
+
+
+def brute_repeats(texts, length):
+    seen, out = set(), {}
+    for d, text in sorted(texts.items()):
+        b = (text or "").encode()
+        gone = bytearray(len(b))
+        for i in range(len(b) - length + 1):
+            if b[i:i + length] in seen:
+                gone[i:i + length] = b"\x01" * length
+            seen.add(b[i:i + length])
+        left = bytes(c for c, g in zip(b, gone) if not g)
+        out[d] = (len(b), sum(gone), len(re.findall(rb"\x01+", bytes(gone))), hashlib.sha256(left).hexdigest())
+    return out
+
+
+def test_repeats_equal_brute_force(spark, sf_small, corpus, make_docs, edge_docs):
+    def got(docs):
+        return {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in lpf.without_repeats(docs).collect()}
+
+    assert got(spark.read.parquet(f"{sf_small}/documents.parquet")) == brute_repeats(corpus, 100)
+    piece = "".join(chr(97 + (i * i + 7 * i) % 23) for i in range(140))
+    made = {1: "a" * 350, 2: "b" + "a" * 120, 3: piece + "x" + piece[:99], 4: piece[:100], 5: piece[20:139], 6: "zz" + piece[1:] + "ü" * 80, 7: "ü" * 70}
+    assert got(make_docs(list(made.items()))) == brute_repeats(made, 100)
+    rows = lpf.without_repeats(edge_docs).collect()
+    assert len(rows) == 10 and {r["n_removed"] for r in rows if r["doc_id"] == 8} == {r["n_bytes"] for r in rows if r["doc_id"] == 8}
+    assert lpf.without_repeats(edge_docs.limit(0)).count() == 0
+
+
+def test_long_texts_are_cut_into_stretches(make_docs, monkeypatch):
+    monkeypatch.setattr(lpf, "STRETCH", 1 << 10)
+    import random
+    rnd = random.Random(5)
+    text = "".join(rnd.choice("abcd") for _ in range(3000))
+    data = lpf.np.frombuffer(text.encode(), lpf.np.uint8)
+    starts = []
+    monkeypatch.setattr(lpf, "row_chunks", lambda off: iter([(0, 1)]))
+    for buffer, off, row, base in lpf._stretches(data, lpf.np.array([0, 3000]), 100):
+        r = lpf.runs(buffer, off)
+        starts += [base + x for lo, n in zip(r["lo"], r["n"]) for x in range(lo, lo + n)]
+    assert sorted(starts) == list(range(3000 - 99))
+
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def brute_secrets(t):
+    spans = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(t) if len(m[2]) >= 8]
+    spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+    spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32]
+    return ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(spans))
+
+
+def test_secret_spans(make_docs, edge_docs, corpus):
+    texts = list(corpus.values()) + [
+        'ü PASSWORD = "abcdefgh1" token: short secret=token: abcdefgh api_key=x.y-z/9012345', "AKIAAKIA12 AKIA0123456789ABCD😀AKIA0123456789ABCD",
+        "0123456789abcdef" * 2 + "g" + "a" * 31 + " " + "f" * 40, "apikey='12345678' passwd : 12345678==", "token=" + "a" * 40, "ghp_" + "A1" * 20]
+    rows = {r["doc_id"]: r for r in secrets.secret_rows(make_docs(list(enumerate(texts)))).collect()}
+    for i, t in enumerate(texts):
+        want = brute_secrets(t)
+        assert rows[i]["base_sha256"] == hashlib.sha256(want.encode()).hexdigest(), t[:80]
+        assert set(filter(None, want.split(","))) <= set(rows[i]["spans"].split(","))
+    assert rows[len(texts) - 1]["spans"].startswith("github:0:")
+    edge = secrets.secret_rows(edge_docs).collect()
+    assert len(edge) == 10 and {r["spans"] for r in edge} == {""}
+    assert secrets.secret_rows(edge_docs.limit(0)).count() == 0
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(make_docs([(1, "x token=" + "a" * 40 + " y"), (2, None), (3, "plain")])).collect()}
+    assert clean == {1: "x [SECRET] y", 2: None, 3: "plain"}
+
+
+def test_trigram_queries_are_mandatory():
+    samples = {"assign": "my Api_Key = abcdefgh", "access": "AKIA0123456789AB", "github": "gho_" + "a" * 36, "slack": "xoxb-1234567890",
+               "google": "AIza" + "b" * 35, "jwt": "eyJabcdefgh.eyJabcdefgh.abcdefgh", "private_key": "-----BEGIN RSA PRIVATE KEY-----"}
+    for rule in secrets.RULES:
+        query = secrets.trigram_query(rule.regex)
+        assert (rule.name == "hex") == (query == [])
+        if query:
+            low = samples[rule.name].lower()
+            assert all(any(all(t in low for t in alt) for alt in clause) for clause in query)
+    plans = secrets.vocabulary(secrets.RULES)
+    assert "pas" in plans and "aki" in plans
+
+
+def test_secret_and_quality_plans_stay_native(spark, sf_small):
+    for name in ("op6_quality_rules", "op9_secret_scan"):
+        plan = QUERIES[name](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_decontamination(make_docs, spark, edge_docs):
+    item = "The quick brown fox jumps over the lazy dog while seven wizards brew a strange potion in the old tower near the river bank"
+    other = "A completely different benchmark question about the capital of some distant country and its many rivers and hills"
+    bench = spark.createDataFrame([(1, item), (2, other), (3, None), (4, "tiny item")], "item_id long, text string")
+    edited = item.replace("lazy", "lasy").replace("potion", "potions")
+    docs = make_docs([(1, "start " + item + " end"), (2, "x " + edited.upper() + " y"), (3, item.replace(" ", "\n  ")), (4, item[:60]),
+                      (5, "clean text without any of it"), (6, "a tiny item here"), (7, "a tiny items here"), (8, item + " " + other)])
+    got = {(r["doc_id"], r["item_id"]): r["distance"] for r in decontam.leak_rows(docs, bench).collect()}
+    assert got == {(1, 1): 0, (2, 1): 2, (3, 1): 0, (6, 4): 0, (8, 1): 0, (8, 2): 0}
+    assert sorted(r["doc_id"] for r in decontam.without_leaks(docs, bench).collect()) == [4, 5, 7]
+    assert {(r["doc_id"], r["item_id"]): r["distance"] for r in decontam.leak_rows(docs, bench, block=1).collect()} == got
+    assert decontam.leak_rows(edge_docs, bench).count() == 0 and decontam.leak_rows(docs, bench.limit(0)).count() == 0
+
+
+def test_myers_equals_dynamic_programming():
+    import random
+    rnd = random.Random(2)
+    for _ in range(300):
+        p, t = ("".join(rnd.choice("abc") for _ in range(rnd.randrange(1, 12))) for _ in range(2))
+        row = [0] * (len(t) + 1)
+        for i, x in enumerate(p, 1):
+            new = [i]
+            for j, y in enumerate(t, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        best, end = decontam.myers(p, t)
+        assert best == min(row) and (best == len(p) or row[end] == best)
+
+
+def test_extra_columns_with_clashing_names(spark, make_docs):
+    docs = make_docs([(1, "some words here token=abcdefgh12"), (2, "other words")])
+    for c in ("node", "key", "tag", "cell", "rank", "lettered", "candidate_id", "spans", "runs", "component", "lo"):
+        docs = docs.withColumn(c, F.lit("clash"))
+    assert minhash.near_duplicate_rows(docs).count() == 2 and ring.shard_rows(docs).count() == 2
+    assert secrets.secret_rows(docs).count() == 2 and lpf.without_repeats(docs).count() == 2
+    assert quality.quality_rows(docs).count() == 2 and licenses.license_rows(docs).count() == 2
+    assert secrets.redact(docs).columns == docs.columns and minhash.without_near_duplicates(docs).columns == docs.columns
