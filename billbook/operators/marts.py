@@ -127,7 +127,8 @@ def status_distribution(vw: DataFrame, month: str | None = LATEST) -> DataFrame:
 
 def status_share(dist: DataFrame) -> DataFrame:
     """Share of each status in the month's invoice count (percent)."""
-    total = dist.agg(F.sum("qtd")).scalar()
+    # One row per status, a handful: the total is a window over them.
+    total = F.sum("qtd").over(Window.partitionBy())
     return dist.select(
         "status", "qtd", "volume_bruto", (F.col("qtd").cast("double") / total.cast("double") * F.lit(100.0)).alias("pct_qtd")
     )
@@ -142,7 +143,8 @@ def churn_evolution(vw: DataFrame) -> DataFrame:
     categories the client shows in that month; a second aggregate per month
     sums them. Clients of the base with no row in a month count as inactive:
     ``base - present(month)``, the base being a scalar subquery. No client x
-    month grid is built.
+    month grid is built. The months come from all rows, also those without a
+    client; the joined table has one row per month.
     """
     base = vw.agg(F.count_distinct("id_cliente")).scalar()
     cat = retention_category("status", "id_fatura")
@@ -156,9 +158,12 @@ def churn_evolution(vw: DataFrame) -> DataFrame:
     per_month = per_client.groupBy("data_referencia").agg(
         F.sum("_on_time").alias(S.RET_ON_TIME),
         F.sum("_late").alias(S.RET_LATE),
-        (F.sum("_inactive") + base - F.count(F.lit(1))).alias(S.RET_INACTIVE),
+        (F.sum("_inactive") - F.count(F.lit(1))).alias(S.RET_INACTIVE),
     )
-    stacked = per_month.select(
+    months = vw.select("data_referencia").distinct()
+    every = months.join(per_month, "data_referencia", "left").fillna(0, [S.RET_ON_TIME, S.RET_LATE, S.RET_INACTIVE])
+    every = every.withColumn(S.RET_INACTIVE, F.col(f"`{S.RET_INACTIVE}`") + base)
+    stacked = every.select(
         "data_referencia",
         F.inline(F.array(*[
             F.struct(F.lit(c).alias("categoria_retencao"), F.col(f"`{c}`").cast("bigint").alias("qtd_clientes"))
@@ -259,13 +264,17 @@ def _history_order() -> list[Column]:
 
 
 def client_history(vw: DataFrame, client_id: int | None = None) -> DataFrame:
-    """Invoice history newest first (one client, or all clients)."""
+    """Invoice history: one client's newest first, or all clients' rows in no
+    order (sorting the whole view would be a range shuffle of it)."""
     rows = vw if client_id is None else vw.where(F.col("id_cliente") == F.lit(client_id))
-    return rows.select(
+    history = rows.select(
         "id_cliente", "data_referencia", "id_fatura",
         F.col("mes_ano").alias("mes"), F.col("valor_fatura").alias("fatura"),
         F.col("valor_pagamento").alias("pago"), F.col("status").alias("categoria"),
-    ).orderBy("id_cliente", F.desc("data_referencia"), F.desc("id_fatura"), F.desc("pago"), F.desc("categoria"))
+    )
+    if client_id is None:
+        return history
+    return history.orderBy(F.desc("data_referencia"), F.desc("id_fatura"), F.desc("pago"), F.desc("categoria"))
 
 
 def client_recent(vw: DataFrame, n: int = 6) -> DataFrame:

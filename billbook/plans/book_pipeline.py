@@ -21,10 +21,11 @@ def invoices_for_cohort(invoices: DataFrame, ref_date: str) -> DataFrame:
     return invoices.where(F.col("ref") == F.lit(ym))
 
 
-def invoices_lookback(invoices: DataFrame, since_ref: str) -> DataFrame:
-    """Invoices whose ``ref`` is at or after ``since_ref`` (string compare on
-    the partition column, so it prunes partitions)."""
-    return invoices.where(F.col("ref") >= F.lit(since_ref))
+def lookback(daily: DataFrame, since_ref: str) -> DataFrame:
+    """Rows of a daily table (invoices or payments) whose ``ref`` (yyyyMMdd)
+    is at or after ``since_ref`` (string compare on the partition column, so
+    it prunes partitions)."""
+    return daily.where(F.col("ref") >= F.lit(since_ref))
 
 
 @dataclass
@@ -72,27 +73,35 @@ def run_book(spark, lake_root: str, dt_proc: str, ref_date: str | None = None) -
     """Build, check and publish the stage and the book from the trusted
     tables under ``lake_root``.
 
-    The stage is written to a staging folder first and the book is computed
-    from those files: the long dedup/join lineage is cut by a table on the
+    Every attempt has a staging folder of its own, so what an interrupted run
+    left behind is never read. The stage is written there first, its rows are
+    reconciled with the invoice keys, and the book is computed from those files: the long dedup/join lineage is cut by a table on the
     shared file system, so a lost executor only recomputes from the stage.
     The book is checked from its written files; only when the check passes
     are stage and book moved into their tables (check first, then publish
     both). Quality and lineage rows are appended either way / on success.
     """
+    import uuid
+
     from billbook.operators.book import BOOK_KEYS
     from billbook.operators.observability import IntegritySpec, check_integrity, lineage_row, record_lineage
-    from billbook.schemas import INVOICES, PAYMENTS, STAGE
+    from billbook.schemas import INVOICE_KEYS, INVOICES, PAYMENTS, STAGE
     from billbook.sinks.parquet import append_partitioned
     from billbook.sources.lake import read_table
     from billbook.sources.paths import publish
 
     invoices = read_table(spark, layer(lake_root, "trusted", "tb_01_fatura"), INVOICES)
     payments = read_table(spark, layer(lake_root, "trusted", "tb_02_pagamento"), PAYMENTS)
-    staging = layer(lake_root, "_staging", dt_proc)
+    staging = layer(lake_root, "_staging", f"{dt_proc}-{uuid.uuid4().hex[:12]}")
     res = build_book(invoices, payments, dt_proc, ref_date)
 
     append_partitioned(res.stage, layer(staging, "stage_fatura"), ["ref"])
     stage = read_table(spark, layer(staging, "stage_fatura"), STAGE)
+    source = invoices if ref_date is None else invoices_for_cohort(invoices, ref_date)
+    expected = source.select(*INVOICE_KEYS).distinct().count()
+    staged = stage.count()
+    if staged != expected:
+        raise ValueError(f"stage_fatura: {staged} rows staged, {expected} invoices expected")
     book = build_book_from_stage(stage, dt_proc, ref_date)
     append_partitioned(book, layer(staging, "book_fatura"), ["ref"])
     written = spark.read.parquet(layer(staging, "book_fatura"))

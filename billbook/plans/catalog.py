@@ -28,7 +28,7 @@ from billbook.operators.joins import (
     latest_invoices,
     latest_payments,
 )
-from billbook.plans.book_pipeline import build_book, invoices_for_cohort, invoices_lookback
+from billbook.plans.book_pipeline import build_book, invoices_for_cohort, lookback
 from billbook.plans.output import decimals_to_double, to_output
 from billbook.plans.trusted import (
     PAYMENT_REQUIRED,
@@ -113,8 +113,14 @@ def q_invoices_for_cohort(spark, sf):
 
 def q_invoices_lookback_180d(spark, sf):
     import datetime as dt
-    since = (dt.date.fromisoformat(AS_OF) - dt.timedelta(days=LOOKBACK_DAYS)).strftime("%Y%m")
-    return invoices_lookback(_tables(spark, sf).invoices, since)
+    since = (dt.date.fromisoformat(AS_OF) - dt.timedelta(days=LOOKBACK_DAYS)).strftime("%Y%m%d")
+    return lookback(q_trusted_invoices_daily(spark, sf), since)
+
+
+def q_payments_lookback_180d(spark, sf):
+    import datetime as dt
+    since = (dt.date.fromisoformat(AS_OF) - dt.timedelta(days=LOOKBACK_DAYS)).strftime("%Y%m%d")
+    return lookback(q_trusted_payments_daily(spark, sf), since)
 
 
 def q_dedup_latest_invoices(spark, sf):
@@ -451,7 +457,7 @@ def q_sink_two_level_partition_roundtrip(spark, sf):
 
 def q_export_csv_semicolon(spark, sf):
     path = scratch_dir(spark, "export")
-    dist = decimals_to_double(M.status_distribution(_vw(spark, sf)))
+    dist = decimals_to_double(M.status_distribution(_vw(spark, sf), month=None))
     export_csv(dist, path, sep=";")
     schema = "status string, qtd bigint, volume_bruto double"
     return spark.read.schema(schema).option("header", True).option("sep", ";").csv(path)
@@ -463,6 +469,7 @@ QUERIES: dict[str, Query] = {
     "book_for_cohort": q_book_for_cohort,
     "invoices_for_cohort": q_invoices_for_cohort,
     "invoices_lookback_180d": q_invoices_lookback_180d,
+    "payments_lookback_180d": q_payments_lookback_180d,
     "dedup_latest_invoices": q_dedup_latest_invoices,
     "dedup_latest_payments": q_dedup_latest_payments,
     "invoice_payment_join": q_invoice_payment_join,

@@ -57,13 +57,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
-    when neither is set (local tests) a fresh local folder is created and
-    registered.
+    when neither is set, and the master is local (tests), a fresh local folder
+    is created and registered; on a cluster executors would not see it, so a
+    missing setting is an error there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="billbook-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         spark.conf.set("spark.checkpoint.dir", d)

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def export_csv(df: DataFrame, path: str, sep: str = ";", single_file: bool = False) -> None:
+def export_csv(df: DataFrame, path: str, sep: str = ";") -> None:
     """Write ``df`` as header CSV with ``sep``. Spark writes no byte-order
-    mark; a spreadsheet-facing consumer that needs one adds it on download.
-    ``single_file`` is for small, already-aggregated results only."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("sep", sep).option("header", True).option("encoding", "UTF-8").csv(path)
+    mark; a spreadsheet-facing consumer that needs one adds it on download."""
+    df.write.mode("overwrite").option("sep", sep).option("header", True).option("encoding", "UTF-8").csv(path)

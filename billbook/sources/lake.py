@@ -28,6 +28,8 @@ def read_merged(spark: SparkSession, path: str, with_file: bool = True, string_p
     return df.select("*", F.col("_metadata.file_path").alias("filename")) if with_file else df
 
 
-def latest_runs(audit: DataFrame, n: int = 20) -> DataFrame:
-    """Newest audit rows first (lineage or quality table)."""
-    return audit.orderBy(F.desc("dt_proc"), "tabela").limit(n)
+def latest_runs(audit: DataFrame, n: int | None = None) -> DataFrame:
+    """Newest audit rows first (lineage or quality table); all of them unless
+    ``n`` asks for the newest ``n``."""
+    rows = audit.orderBy(F.desc("dt_proc"), "tabela")
+    return rows if n is None else rows.limit(n)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +13,18 @@ from billbook.sources.paths import exists, list_files
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType, sep: str = ",") -> DataFrame:
-    """Header CSV as strings with an explicit schema (no inference pass)."""
-    paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.schema(schema).option("header", True).option("sep", sep).csv(paths)
+    """Header CSV with the columns of ``schema`` taken by header name, in any
+    order; further columns are left out and a missing one is an error. Each
+    path has a header of its own; a file of a folder whose header differs from
+    the folder's first one fails instead of being read by position."""
+    frames = []
+    for one in [path] if isinstance(path, str) else path:
+        text = spark.read.option("header", True).option("sep", sep).option("enforceSchema", False).csv(one)
+        missing = [c for c in schema.fieldNames() if c not in text.columns]
+        if missing:
+            raise ValueError(f"{one}: missing columns {missing}")
+        frames.append(text.select(*[text[f"`{f.name}`"].cast(f.dataType).alias(f.name) for f in schema.fields]))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def resolve_source(spark: SparkSession, candidates: Sequence[str]) -> str:

@@ -58,7 +58,8 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert len(df.columns) == 203 and df.count() > 0
     q, o = E.queries(), E.oracle_sql()
-    assert set(o) == set(q)
+    from billbook.plans.catalog import QUERIES
+    assert set(QUERIES) <= set(o) <= set(q)  # training-data queries may have no SQL
 
 
 def test_sample_queries_match_oracle(spark, sf_small):

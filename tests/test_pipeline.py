@@ -23,3 +23,74 @@ def test_pipeline_end_to_end(spark, sf_small, tmp_path):
     q = spark.read.parquet(f"{root}/qualidade")
     assert sorted(r.tabela for r in q.collect()) == ["book_fatura", "tb_01_fatura", "tb_02_pagamento"]
     assert spark.read.parquet(f"{root}/controle").count() == 3
+
+
+def _broken_once(spark, sf_small, root, monkeypatch, call):
+    """Run the book with the ``call``-th partitioned write failing after it
+    has written, then again with the same ``dt_proc``."""
+    import pytest
+
+    import billbook.sinks.parquet as sink
+    from billbook.plans.book_pipeline import run_book
+
+    t = load_tables(spark, sf_small)
+    t.invoices.write.partitionBy("ref").parquet(f"{root}/trusted/tb_01_fatura")
+    t.payments.write.partitionBy("ref").parquet(f"{root}/trusted/tb_02_pagamento")
+    real, calls = sink.append_partitioned, []
+
+    def write(*args, **kwargs):
+        real(*args, **kwargs)
+        calls.append(1)
+        if len(calls) == call:
+            raise OSError("lost")
+
+    monkeypatch.setattr(sink, "append_partitioned", write)
+    with pytest.raises(OSError):
+        run_book(spark, root, "20020101000000")
+    monkeypatch.setattr(sink, "append_partitioned", real)
+    report = run_book(spark, root, "20020101000000")
+    book = spark.read.parquet(f"{root}/refined/book_fatura")
+    assert report["status"] == "OK" and book.count() == report["total_registros"]
+    assert spark.read.parquet(f"{root}/refined/stage_fatura").count() == t.invoices.count()
+
+
+def test_book_rerun_after_a_broken_stage_write(spark, sf_small, tmp_path, monkeypatch):
+    _broken_once(spark, sf_small, str(tmp_path / "lake"), monkeypatch, 1)
+
+
+def test_book_rerun_after_a_broken_book_write(spark, sf_small, tmp_path, monkeypatch):
+    _broken_once(spark, sf_small, str(tmp_path / "lake"), monkeypatch, 2)
+
+
+def test_csv_columns_are_bound_by_name(spark, tmp_path):
+    import pytest
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from billbook.sources.raw import read_csv
+
+    schema = StructType([StructField(c, StringType()) for c in ("id_cliente", "id_fatura")])
+    (tmp_path / "a.csv").write_text("id_fatura,more,id_cliente\nF7,x,42\n")
+    (tmp_path / "b.csv").write_text("id_cliente,id_fatura\n43,F8\n")
+    (tmp_path / "c.csv").write_text("id_cliente,other\n43,F8\n")
+    rows = read_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], schema).collect()
+    assert sorted(map(tuple, rows)) == [("42", "F7"), ("43", "F8")]
+    with pytest.raises(ValueError):
+        read_csv(spark, str(tmp_path / "c.csv"), schema)
+
+
+def test_churn_counts_a_month_without_clients(spark):
+    import datetime as dt
+
+    from billbook.operators.marts import churn_evolution
+
+    rows = [(1, dt.date(2001, 1, 1), 1, "Pago em Dia"), (None, dt.date(2001, 2, 1), 2, "Pago em Dia")]
+    vw = spark.createDataFrame(rows, "id_cliente long, data_referencia date, id_fatura long, status string")
+    got = {(r["mes_ano"], r["categoria_retencao"]): r["qtd_clientes"] for r in churn_evolution(vw).collect()}
+    assert got == {("01/2001", "Ativo em Dia"): 1, ("02/2001", "Inativo / Churn"): 1}
+
+
+def test_latest_runs_is_whole_by_default(spark):
+    from billbook.sources.lake import latest_runs
+
+    audit = spark.createDataFrame([(f"{i:014d}", "t") for i in range(50)], "dt_proc string, tabela string")
+    assert latest_runs(audit).count() == 50 and latest_runs(audit, 20).count() == 20
