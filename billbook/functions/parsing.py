@@ -37,5 +37,6 @@ def money(c: Column | str) -> Column:
 
 
 def version_key(first: Column | str, second: Column | str) -> Column:
-    """Concatenate two stamps into one comparable version key."""
+    """Concatenate two stamps into one comparable version key. Both must have
+    a fixed width (``yyyyMMddHHmmss``), as keys are compared as text."""
     return F.concat(_col(first).cast("string"), _col(second).cast("string"))

@@ -15,37 +15,35 @@ from pyspark.sql import functions as F
 def dedup_latest(
     df: DataFrame,
     keys: Sequence[str],
-    order_by: Sequence[str] = ("dt_proc",),
-    tie_breakers: Sequence[str] = (),
+    version: str = "dt_proc",
+    lead: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per ``keys``: the greatest ``order_by`` (then tie-breakers),
-    all descending.
+    """One row per ``keys``: the greatest ``version``. Rows of one version are
+    ranked by ``lead`` and then by every other column, all descending, so only
+    equal rows can tie and the result does not depend on the row order.
 
-    ``row_number() = 1`` is planned by Catalyst as a *partial*
+    ``row_number() <= 1`` is planned by Catalyst as a *partial*
     ``WindowGroupLimit`` before the shuffle, so each map task ships at most
     one row per key: a key holding a third of all rows costs one row per
     task on the wire, not a third of the data.
     """
-    ordering = [F.col(c).desc_nulls_last() for c in [*order_by, *tie_breakers] if c in df.columns]
-    w = Window.partitionBy(*keys).orderBy(*ordering)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    ranking = [version, *lead]
+    ranking += [c for c in df.columns if c not in ranking and c not in keys]
+    newest_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in ranking])
+    return df.select("*", F.row_number().over(newest_first).alias("_place")).where("_place <= 1").drop("_place")
 
 
 def dedup_join_max_key(df: DataFrame, keys: Sequence[str], version_col: str = "dedup_key") -> DataFrame:
     """Keep rows whose ``version_col`` equals the maximum of their key group
-    (all rows tied at the maximum are kept, as a join to the per-key maximum
-    would; NULL keys and NULL versions never match).
+    (all rows tied at the maximum are kept; NULL keys and NULL versions never
+    match).
 
-    Planned as ``rank() = 1``: Catalyst turns it into a partial
-    ``WindowGroupLimit`` before the single shuffle on the keys, so a hot key
-    ships only its locally-newest rows per task, and no sort-based
-    aggregate over the (string) version is needed.
+    The maximum per key is a partial aggregate, joined back on key and
+    version: the rows of a hot key that tie at its maximum are the left side
+    of an equi-join, which AQE can split. A window would hold them in one task.
     """
-    valid = F.col(version_col).isNotNull()
-    for k in keys:
-        valid = valid & F.col(k).isNotNull()
-    w = Window.partitionBy(*keys).orderBy(F.col(version_col).desc())
-    return df.where(valid).withColumn("_rk", F.rank().over(w)).where(F.col("_rk") == 1).drop("_rk")
+    newest = df.groupBy(*keys).agg(F.max(version_col).alias(version_col))
+    return df.join(newest, [*keys, version_col], "left_semi")
 
 
 def snapshot_latest_batch(df: DataFrame, version_col: str = "dedup_key") -> DataFrame:

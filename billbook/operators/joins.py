@@ -34,11 +34,10 @@ def latest_invoices(invoices: DataFrame) -> DataFrame:
     return dedup_latest(invoices, INVOICE_KEYS)
 
 
-def latest_payments(payments: DataFrame, tie_breakers=("id_pagamento", "l_partkey", "l_suppkey", "l_extendedprice")) -> DataFrame:
+def latest_payments(payments: DataFrame) -> DataFrame:
     """Latest payment per (client, invoice); several payments of one invoice
-    collapse to one. Ties on ``dt_proc`` are broken by ``tie_breakers`` that
-    exist in the frame, so the result is deterministic."""
-    return dedup_latest(payments, INVOICE_KEYS, tie_breakers=tie_breakers)
+    collapse to one. Of one version the greatest payment id stays."""
+    return dedup_latest(payments, INVOICE_KEYS, lead=["id_pagamento"])
 
 
 def classified(joined: DataFrame, ref_date=None) -> DataFrame:

@@ -244,10 +244,23 @@ def client_summary(vw: DataFrame, client_id: int | None = None) -> DataFrame:
     )
 
 
+def one_decimal(d: Column) -> Column:
+    """Text of a non-negative double with one decimal, rounded by the exact
+    binary value and ties to even. ``format_string`` rounds the shortest
+    decimal form half up, so 10.25 would become 10.3 and 10.35 10.4."""
+    whole = F.floor(d)
+    # The part below one has at most 52 binary digits from 1 up, so this is exact.
+    part = ((d - whole) * F.lit(float(1 << 52))).cast("bigint") * 10
+    tenth, left, half = F.shiftright(part, 52), part.bitwiseAND(F.lit((1 << 52) - 1)), F.lit(1 << 51)
+    up = F.when((left > half) | ((left == half) & (tenth % 2 == 1)), 1).otherwise(0)
+    tenths = whole * 10 + tenth + up
+    return F.concat(F.floor(tenths.cast("decimal(20,0)") / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"))
+
+
 def amount_label(v: Column) -> Column:
     """``R$ 12.3k`` from 10,000 up, else ``R$ 1,234.56``."""
     d = v.cast("double")
-    return F.when(d >= 10000, F.format_string("R$ %.1fk", d / 1e3)).otherwise(F.concat(F.lit("R$ "), F.format_number(d, 2)))
+    return F.when(d >= 10000, F.concat(F.lit("R$ "), one_decimal(d / 1e3), F.lit("k"))).otherwise(F.concat(F.lit("R$ "), F.format_number(d, 2)))
 
 
 def client_summary_labels(summary: DataFrame) -> DataFrame:
@@ -255,7 +268,7 @@ def client_summary_labels(summary: DataFrame) -> DataFrame:
         "id_cliente",
         amount_label(F.coalesce(F.col("total_faturado"), F.lit(0))).alias("lbl_faturado"),
         amount_label(F.coalesce(F.col("total_pago"), F.lit(0))).alias("lbl_pago"),
-        F.format_string("%.0f dias", F.coalesce(F.col("media_atraso"), F.lit(0.0))).alias("lbl_media_atraso"),
+        F.format_string("%.0f dias", F.rint(F.coalesce(F.col("media_atraso"), F.lit(0.0)))).alias("lbl_media_atraso"),
     )
 
 

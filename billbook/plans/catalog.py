@@ -81,7 +81,7 @@ def _inputs(spark, sf):
 
 def _vw(spark, sf):
     t = _tables(spark, sf)
-    return integrated_view(t.invoices, t.payments_contract, AS_OF)
+    return integrated_view(t.invoices, t.payments, AS_OF)
 
 
 def _book(spark, sf, ref_date=None):
@@ -128,11 +128,13 @@ def q_dedup_latest_invoices(spark, sf):
 
 
 def q_dedup_latest_payments(spark, sf):
-    return latest_payments(_tables(spark, sf).payments).drop("l_partkey", "l_suppkey", "l_extendedprice")
+    return latest_payments(_tables(spark, sf).payments)
 
 
 def q_invoice_payment_join(spark, sf):
-    return _joined(spark, sf)
+    # The join keeps BIGINT. Dataframe libraries turn a BIGINT column with
+    # NULLs (unpaid invoices) into doubles, so the id leaves as text, exact.
+    return _joined(spark, sf).withColumn("id_pagamento", F.col("id_pagamento").cast("string"))
 
 
 def q_payment_status(spark, sf):
@@ -190,7 +192,8 @@ def q_book_by_client(spark, sf):
 
 
 def q_book_keys_first(spark, sf):
-    return B.book_keys_first(_book(spark, sf))
+    book = _book(spark, sf)
+    return B.book_keys_first(book.select(*reversed(book.columns)))
 
 
 def q_book_filled(spark, sf):
@@ -207,8 +210,10 @@ def q_view_book(spark, sf):
 
 
 def _versioned_payments(spark, sf):
-    p = _tables(spark, sf).payments_contract
-    return p.select("*", version_key("dt_proc", F.col("id_pagamento").cast("string")).alias("dedup_key"))
+    # Payments arrive in monthly files: the file's stamp, then the run's.
+    p = _tables(spark, sf).payments
+    file_stamp = F.concat(F.substring("dt_proc", 1, 6), F.lit("01000000"))
+    return p.select("*", version_key(file_stamp, F.lit(TS_PROC)).alias("dedup_key"))
 
 
 def q_version_key(spark, sf):
@@ -234,7 +239,7 @@ def q_trusted_invoices(spark, sf):
 
 
 def q_trusted_payments(spark, sf):
-    return trusted_payments(raw_payment_text(_tables(spark, sf).payments_contract), DT_PROC)
+    return trusted_payments(raw_payment_text(_tables(spark, sf).payments), DT_PROC)
 
 
 def _plain_ids(df):
@@ -247,7 +252,7 @@ def q_trusted_invoices_daily(spark, sf):
 
 
 def q_trusted_payments_daily(spark, sf):
-    rawt = raw_payment_text(_tables(spark, sf).payments_contract)
+    rawt = raw_payment_text(_tables(spark, sf).payments)
     rawt = rawt.withColumn("id_pagamento", parse_id("id_pagamento").cast("string")).withColumn("ts_file_generation", F.lit(FILE_STAMP))
     return trusted_payments_daily(rawt, TS_PROC)
 
@@ -264,12 +269,12 @@ def q_ref_from_text(spark, sf):
 
 
 def q_ref_from_date(spark, sf):
-    p = _tables(spark, sf).payments_contract
+    p = _tables(spark, sf).payments
     return p.select("id_pagamento", "data_pagamento", ref_from_date("data_pagamento").alias("ref"))
 
 
 def q_typed_casts(spark, sf):
-    r = raw_payment_text(_tables(spark, sf).payments_contract)
+    r = raw_payment_text(_tables(spark, sf).payments)
     return r.select(
         F.col("id_cliente").try_cast("bigint").alias("id_cliente"),
         F.col("dt_pagamento").try_cast("date").alias("data_pagamento"),
@@ -281,7 +286,7 @@ def q_typed_casts(spark, sf):
 # ------------------------------------------------------------------ observability
 
 def _typed_payments(spark, sf):
-    return trusted_payments(raw_payment_text(_tables(spark, sf).payments_contract), DT_PROC)
+    return trusted_payments(raw_payment_text(_tables(spark, sf).payments), DT_PROC)
 
 
 def q_integrity_duplicate_keys(spark, sf):
@@ -329,6 +334,10 @@ def q_control_row(spark, sf):
     return O.control_row(trusted_invoices_daily(rawt, TS_PROC), "fatura", TS_PROC)
 
 
+def q_control_row_payments(spark, sf):
+    return O.control_row(q_trusted_payments_daily(spark, sf), "pagamento", TS_PROC)
+
+
 def q_row_counts_by_table(spark, sf):
     t = _tables(spark, sf)
     return O.row_counts({
@@ -344,7 +353,7 @@ def q_dup_invoice_ids(spark, sf):
 
 
 def q_dup_payment_ids(spark, sf):
-    return M.ids_across_cohorts(_tables(spark, sf).payments_contract, "id_pagamento", "dup_pag")
+    return M.ids_across_cohorts(_tables(spark, sf).payments, "id_pagamento", "dup_pag")
 
 
 # ------------------------------------------------------------------ marts
@@ -355,7 +364,7 @@ def q_view_invoices(spark, sf):
 
 
 def q_view_payments(spark, sf):
-    p = _tables(spark, sf).payments_contract
+    p = _tables(spark, sf).payments
     return p.select("*", month_start("ref").alias("data_referencia"))
 
 
@@ -509,6 +518,7 @@ QUERIES: dict[str, Query] = {
     "integrity_report_dedup": q_integrity_report_dedup,
     "lineage_row": q_lineage_row,
     "control_row": q_control_row,
+    "control_row_payments": q_control_row_payments,
     "row_counts_by_table": q_row_counts_by_table,
     "dup_invoice_ids": q_dup_invoice_ids,
     "dup_payment_ids": q_dup_payment_ids,
@@ -564,8 +574,7 @@ QUERIES: dict[str, Query] = {
 
 def _nullable_int_columns() -> dict[str, list[str]]:
     """Integer outputs that are NULL by definition when nothing matches (book
-    MIN/MAX of days, prototype-book counts, the payment id of an unpaid
-    invoice). They leave as DOUBLE like money, so a NULL-bearing integer
+    MIN/MAX of days, prototype-book counts). They leave as DOUBLE like money, so a NULL-bearing integer
     column has one representation across engines and dataframe libraries."""
     days = [s.name for s in B.metric_specs() if s.value_col == B.DAYS_COL and s.agg in ("MIN", "MAX")]
     counts = [f"qtd_st_{c.lower()}" for c in B.CLIENT_BOOK_CLASSES]
@@ -574,7 +583,6 @@ def _nullable_int_columns() -> dict[str, list[str]]:
         **{q: days for q in ("book_by_cohort", "book_for_cohort", "book_keys_first", "book_sample", "view_book")},
         "book_by_client": counts,
         "sink_two_level_partition_roundtrip": counts,
-        "invoice_payment_join": ["id_pagamento"],
     }
 
 

@@ -22,7 +22,6 @@ PARTIAL_DISCOUNT = 0.08            # discount at or above it pays 100.00 less
 PARTIAL_SHORTFALL = "100.00"
 AS_OF = "2001-12-31"               # fixed evaluation date (after last payment)
 # Payment tie-breakers after dt_proc, all descending.
-PAYMENT_TIE_BREAKERS = ["id_pagamento", "l_partkey", "l_suppkey", "l_extendedprice"]
 # ---------------------------------------------------------------------------
 
 
@@ -30,8 +29,7 @@ PAYMENT_TIE_BREAKERS = ["id_pagamento", "l_partkey", "l_suppkey", "l_extendedpri
 # the reader skips the footer-inference job and reads only these columns.
 SOURCE_SCHEMAS = {
     "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ",
-    "lineitem": ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
-                 "l_extendedprice DOUBLE, l_discount DOUBLE, l_returnflag STRING, l_shipdate TIMESTAMP_NTZ"),
+    "lineitem": ("l_orderkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_discount DOUBLE, l_returnflag STRING, l_shipdate TIMESTAMP_NTZ"),
 }
 
 
@@ -57,12 +55,11 @@ def invoices_from_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def payments_from_lineitem(lineitem: DataFrame, invoices: DataFrame, keep_tie_breakers: bool = True) -> DataFrame:
-    """One payment per line item. Extra ``l_*`` columns are kept (optionally)
-    as deterministic tie-breakers for the latest-version dedup."""
+def payments_from_lineitem(lineitem: DataFrame, invoices: DataFrame) -> DataFrame:
+    """One payment per line item."""
     li = lineitem.select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag",
-        "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice",
+        "l_shipdate",
     )
     inv = invoices.select("id_cliente", "id_fatura", "data_vencimento", "valor_fatura")
     j = li.join(inv, li["l_orderkey"] == inv["id_fatura"], "inner")
@@ -86,8 +83,6 @@ def payments_from_lineitem(lineitem: DataFrame, invoices: DataFrame, keep_tie_br
         paid_on.alias("data_pagamento"),
         paid.alias("valor_pagamento"),
     ]
-    if keep_tie_breakers:
-        cols += [F.col("l_partkey"), F.col("l_suppkey"), F.col("l_extendedprice")]
     return j.select(*cols)
 
 
@@ -96,13 +91,9 @@ class Tables:
     """Invoices and payments bound from one scale-factor folder."""
 
     invoices: DataFrame
-    payments: DataFrame          # typed contract columns plus l_* tie-breakers
+    payments: DataFrame
     as_of: str = AS_OF
 
-    @property
-    def payments_contract(self) -> DataFrame:
-        return self.payments.drop("l_partkey", "l_suppkey", "l_extendedprice")
-
 
 def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])

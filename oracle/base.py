@@ -22,8 +22,7 @@ PAY = """pay_x AS (
                                      ELSE CAST(trunc(l.l_quantity) AS INTEGER) END) AS data_pagamento,
            CAST(CASE WHEN l.l_discount >= 0.08 THEN i.valor_fatura - 100.00 ELSE i.valor_fatura END
                 AS DECIMAL(15,2)) AS valor_pagamento,
-           strftime(l.l_shipdate, '%Y%m%d') || '000000' AS dt_proc,
-           l.l_partkey, l.l_suppkey, l.l_extendedprice
+           strftime(l.l_shipdate, '%Y%m%d') || '000000' AS dt_proc
     FROM lineitem l JOIN inv i ON l.l_orderkey = i.id_fatura),
 pay AS (
     SELECT strftime(data_pagamento, '%Y%m') AS ref, dt_proc, id_cliente, id_fatura, id_pagamento,
@@ -34,15 +33,16 @@ def dedup_sql(inv_where: str = "") -> str:
     """Latest invoice and payment per (client, invoice); optional invoice filter."""
     return """inv_l AS (
     SELECT * EXCLUDE (rn) FROM (
-        SELECT *, row_number() OVER (PARTITION BY id_cliente, id_fatura ORDER BY dt_proc DESC) AS rn
+        SELECT *, row_number() OVER (PARTITION BY id_cliente, id_fatura ORDER BY dt_proc DESC, ref DESC,
+                                  data_emissao DESC, data_vencimento DESC, valor_fatura DESC) AS rn
         FROM inv""" + inv_where + """)
     WHERE rn = 1),
 pay_l AS (
-    SELECT * EXCLUDE (rn, l_partkey, l_suppkey, l_extendedprice) FROM (
+    SELECT * EXCLUDE (rn) FROM (
         SELECT strftime(data_pagamento, '%Y%m') AS ref, *,
                row_number() OVER (PARTITION BY id_cliente, id_fatura
-                                  ORDER BY dt_proc DESC, id_pagamento DESC, l_partkey DESC,
-                                           l_suppkey DESC, l_extendedprice DESC) AS rn
+                                  ORDER BY dt_proc DESC, id_pagamento DESC, strftime(data_pagamento, '%Y%m') DESC,
+                                           data_pagamento DESC, valor_pagamento DESC) AS rn
         FROM pay_x)
     WHERE rn = 1)"""
 

@@ -18,11 +18,11 @@ def test_dedup_keeps_newest_version_and_breaks_ties(spark):
         ("202301", "20230102000000", 2, 20, 201, D(2023, 1, 7), Decimal("2.00")),    # same batch: higher id wins
     ]
     df = spark.createDataFrame(rows, PAYMENTS)
-    out = dedup_latest(df, ["id_cliente", "id_fatura"], tie_breakers=["id_pagamento"])
+    out = dedup_latest(df, ["id_cliente", "id_fatura"], lead=["id_pagamento"])
     got = sorted((r.id_cliente, r.id_pagamento) for r in out.collect())
     assert got == [(1, 101), (2, 201)]
     # idempotent
-    again = dedup_latest(out, ["id_cliente", "id_fatura"], tie_breakers=["id_pagamento"])
+    again = dedup_latest(out, ["id_cliente", "id_fatura"], lead=["id_pagamento"])
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, out.collect()))
 
 
@@ -33,6 +33,39 @@ def test_dedup_join_max_key_keeps_ties_and_snapshot(spark):
     assert sorted(r.x for r in snapshot_latest_batch(df, "dedup_key").collect()) == ["v2", "v3"]
 
 
+def test_dedup_does_not_depend_on_the_row_order(spark):
+    rows = [("202301", "s", 1, 10, 7, D(2023, 1, 1 + i % 3), Decimal(i % 5)) for i in range(30)]
+    df = spark.createDataFrame(rows, PAYMENTS)
+    seen = {tuple(dedup_latest(df.orderBy(F.xxhash64(F.lit(i), "data_pagamento", "valor_pagamento")), ["id_cliente", "id_fatura"]).first())
+            for i in range(4)}
+    assert len(seen) == 1
+
+
+def test_book_keys_first_reorders(spark):
+    df = spark.createDataFrame([(1.0, "r", "202301", 5)], "qtd double, dt_proc string, ref string, id_cliente long")
+    assert B.book_keys_first(df).columns[:3] == [c for c in B.BOOK_KEYS][:3]
+
+
+def test_join_keeps_large_payment_ids(spark):
+    from billbook.operators.joins import invoice_payment_join
+    from billbook.plans.output import to_output
+    from billbook.schemas import INVOICES
+
+    big = 2 ** 53 + 1
+    inv = spark.createDataFrame([("202301", "s", 1, k, D(2023, 1, 1), D(2023, 1, 31), Decimal("1.00"), Decimal("0.00")) for k in (10, 11)], INVOICES)
+    pay = spark.createDataFrame([("202301", "s", 1, 10, big, D(2023, 1, 5), Decimal("1.00"))], PAYMENTS)
+    got = to_output(invoice_payment_join(inv, pay)).select("id_fatura", "id_pagamento")
+    assert dict(got.dtypes)["id_pagamento"] == "bigint" and sorted(map(tuple, got.collect())) == [(10, big), (11, None)]
+
+
+def test_one_decimal_rounds_the_exact_value(spark):
+    from billbook.operators.marts import one_decimal
+
+    values = [10.25, 10.35, 10.75, 10.05, 11.95, 19.96, 10.0, 123456.25, 123456.35, 99.949999999, 10.45]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select("v", one_decimal(F.col("v")).alias("t")).collect()
+    assert {r.v: r.t for r in got} == {v: f"{v:.1f}" for v in values}
+
+
 def test_metric_specs_grammar():
     specs = B.metric_specs()
     assert len(specs) == 200 and len({s.name for s in specs}) == 200

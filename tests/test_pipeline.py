@@ -12,7 +12,7 @@ def test_pipeline_end_to_end(spark, sf_small, tmp_path):
         F.col("id_cliente").alias("o_custkey"), F.col("id_fatura").alias("o_orderkey"),
         F.col("valor_fatura").cast("double").alias("o_totalprice"), F.col("data_emissao").alias("o_orderdate"),
     )).write.option("header", True).csv(f"{root}/raw/fatura/tb_faturas_1.csv")
-    dedup_payments = t.payments_contract.dropDuplicates(["id_pagamento"])
+    dedup_payments = t.payments.dropDuplicates(["id_pagamento"])
     raw_payment_text(dedup_payments).write.option("header", True).csv(f"{root}/raw/backup_01/pagamento/tb_pagamentos_1.csv")
 
     rep = run_pipeline(spark, root, "20020101000000")
