@@ -24,11 +24,14 @@ import hashlib
 import json
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 CACHE = 300_000
+#: Tokens and rows that a task gathers before it gives them out.
+HELD = 1 << 17
 
 #: White space as the tokenizer's pattern sees it (Unicode White_Space).
 _S = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -172,17 +175,31 @@ def token_rows(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
     def code(batches):
         codec = codec_for(path, spec.value)
         as_bytes = {str(i): t for i, t in codec.bytes.items()}
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]
+        names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+        def packed(rows, lists):
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+            if not keep_ids:
+                return pa.RecordBatch.from_arrays(columns, names=names)
+            ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists)))
+            return pa.RecordBatch.from_arrays([*columns, ids], names=[*names, "ids"])
+
+        rows, lists, held = [], [], 0
         for batch in batches:
-            rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 joined = codec.encode_joined(text.as_py() or "")
                 ids = joined.split(",") if joined else []
                 back = b"".join(map(as_bytes.__getitem__, ids)).decode("utf-8", "replace")
-                rows.append((doc_id, len(ids), hashlib.sha256(joined.encode()).hexdigest(),
-                             hashlib.sha256(back.encode()).hexdigest(), [int(x) for x in ids] if keep_ids else None))
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32())]
-            columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
-            yield pa.RecordBatch.from_arrays(columns[: 5 if keep_ids else 4], names=names[: 5 if keep_ids else 4])
+                rows.append((doc_id, len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()))
+                if keep_ids:
+                    lists.append(np.array(ids, dtype=np.int32))
+                held += len(ids) + 1
+                if held >= HELD:  # bounded memory: give out what is there
+                    yield packed(rows, lists)
+                    rows, lists, held = [], [], 0
+        if rows:
+            yield packed(rows, lists)
 
     return docs.select("doc_id", "text").mapInArrow(code, OUT + (", ids array<int>" if keep_ids else ""))
