@@ -58,6 +58,41 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+#: Steps per halving of the hashed unit interval: a sample keeps at least
+#: 2 ** (-1 / LEVELS) of its bound, give or take its own noise.
+LEVELS = 16
+
+
+def sample_cut(rows: DataFrame, size: int, group: str | None = None) -> tuple[Column, dict]:
+    """A condition that keeps at most ``size`` rows (of each value of
+    ``group``), chosen by the hash of doc_id, and how many rows it keeps.
+
+    A row's level grows as its hash gets smaller; levels are counted over all
+    rows (map-side combined, at most 53 * LEVELS counts a group reach the
+    driver) and rows from the lowest level up whose counts stay within ``size`` are
+    kept. No sort or window, so a hot group is no task of its own. Rows of one
+    id stand or fall together; if a group's rarest level alone is over
+    ``size``, the group has no sample."""
+    unit = (F.shiftrightunsigned(F.xxhash64("doc_id"), 11).cast("double") + 1) / float(1 << 53)
+    level = F.floor(-F.log2(unit) * LEVELS).cast("int")
+    key = F.col(group) if group else F.lit(None).cast("string")
+    counted = rows.groupBy(key.alias("part"), level.alias("level")).count().collect()
+    levels: dict = {}
+    for r in counted:
+        levels.setdefault(r["part"], {})[r["level"]] = r["count"]
+    keep, sizes = F.lit(False), {}
+    for part, found in levels.items():
+        cut, total = None, 0
+        for at in sorted(found, reverse=True):
+            if total + found[at] > size:
+                break
+            cut, total = at, total + found[at]
+        if cut is not None:
+            keep = keep | (key.eqNullSafe(F.lit(part)) & (level >= cut))
+            sizes[part] = total
+    return keep, sizes
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of an Arrow string column; row i is
     ``bytes[offsets[i]:offsets[i + 1]]``, a null is empty."""

@@ -8,8 +8,7 @@ A document counts the hits of each language (per-language popcounts), corrects
 them for the false positives that the filter's fill gives, and the largest
 corrected share decides.
 
-The fit uses at most SAMPLE documents per language, those with the smallest
-hashed ids; the filter has a fixed size and is shipped with the tasks. Every
+The fit uses at most SAMPLE documents per language, chosen by hashed id; the filter has a fixed size and is shipped with the tasks. Every
 document is scored whole.
 
 Edge cases: a null text or one without letters is ``und`` with score 0; with no
@@ -24,9 +23,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from billbook.llm.common import held_out, mix64, row_chunks, text_bytes, train_row
+from billbook.llm.common import held_out, mix64, row_chunks, sample_cut, text_bytes, train_row
 
 GRAM = 4
 SLOTS = 1 << 20
@@ -66,15 +64,12 @@ def _lower(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return text_bytes(pc.utf8_lower(column))
 
 
-def sample_per_language(docs: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """Training rows: at most ``size`` per language, smallest hashed ids. The
-    window's partial limit keeps ``size`` rows per task before the shuffle."""
+def sample_per_language(docs: DataFrame, size: int = SAMPLE) -> tuple[DataFrame, dict[str, int]]:
+    """(text, lang) of at most ``size`` training rows per language, and how
+    many each has."""
     rows = docs.filter(train_row(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    key = rows.select("doc_id", "lang")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = key.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= size).select("doc_id").distinct()
-    # size * languages ids at most: a fixed bound, so broadcast.
-    return rows.select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id", "left_semi")
+    keep, sizes = sample_cut(rows, size, "lang")
+    return rows.filter(keep).select("text", "lang"), sizes
 
 
 def fit(docs: DataFrame, size: int = SAMPLE, share: float = SHARE) -> dict:
@@ -89,8 +84,7 @@ def fit(docs: DataFrame, size: int = SAMPLE, share: float = SHARE) -> dict:
                     own = np.unique(h[row == i]) if b - a > 1 else np.unique(h)
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own), pa.string()), pa.array(own.view(np.int64))], names=["lang", "gram"])
 
-    sample = sample_per_language(docs, size).select("text", "lang")
-    sizes = {r["lang"]: r["count"] for r in sample.groupBy("lang").count().collect()}
+    sample, sizes = sample_per_language(docs, size)
     languages = sorted(sizes)[:MOST_LANGUAGES]
     if len(sizes) > MOST_LANGUAGES:
         raise ValueError(f"at most {MOST_LANGUAGES} languages fit a mask, found {len(sizes)}")

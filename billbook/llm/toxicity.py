@@ -8,8 +8,8 @@ quotation marks, or next to a reporting cue, counts as quotation, an address
 such as "you" next to it as abuse. A logistic model over the per-document hit
 counts gives the score.
 
-The model is fitted on a bounded sample: at most SAMPLE labelled rows, those
-with the smallest hashed ids, never rows held out. Labels, ids, languages and
+The model is fitted on a bounded sample: at most SAMPLE labelled rows, chosen
+by hashed id, never rows held out. Labels, ids, languages and
 sources are not inputs of a score. Every document is scored whole.
 
 Edge cases: a null or empty text has no hits and gets the score of no hits;
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billbook.llm.common import held_out, materialize, train_row
+from billbook.llm.common import held_out, materialize, sample_cut, train_row
 
 SAMPLE = 16000
 #: Tasks that the sample is dealt to.
@@ -178,7 +178,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Dat
     """(text, toxic) of at most ``size`` labelled rows that are not held out."""
     marked = (labels.filter(train_row(F.col("doc_id")) & F.col("toxic").isNotNull())
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
+    keep, _ = sample_cut(marked, size)
+    chosen = marked.filter(keep)
     # ``size`` rows at most: a fixed bound, so broadcast.
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
 
