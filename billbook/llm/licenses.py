@@ -20,6 +20,7 @@ extra columns are never read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -131,11 +132,14 @@ def license_rows(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshol
             out = {k: [] for k in ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")}
             for doc_id, low in _binary_rows(batch):
                 words = WORD.findall(low)
-                places, base = [], set()
+                places, base, begins = [], set(), []
                 for regex, must, label in finders:
                     if must in low:
-                        for m in regex.finditer(low):
-                            places.append(len(WORD.findall(low[: m.start()])))
+                        found = [m.start() for m in regex.finditer(low)]
+                        if found:
+                            # One pass over the words, however many places there are.
+                            begins = begins or [m.start() for m in WORD.finditer(low)]
+                            places += [bisect_left(begins, at) for at in found]
                             base.add(label)
                 have, score = set(), 1.0 if base else 0.0
                 for t in ordered:
