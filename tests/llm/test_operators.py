@@ -167,6 +167,20 @@ def test_toxicity_held_out(spark, edge_docs):
     assert toxicity.toxicity_rows(docs.limit(0), labels.limit(0)).count() == 0
 
 
+@pytest.fixture(scope="module")
+def model_sf01(spark):
+    sf = "/root/testdata/sf0.1"
+    return toxicity.fit(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+
+
+def test_misspelled_toxic_text_is_predicted(spark, make_docs, model_sf01):
+    docs = make_docs([(1, "you are a stpid ideot and this is wrthless tresh"), (2, "the meeting was moved to the second week of may"),
+                      (3, "you are a stupid idiot and this is worthless trash")])
+    got = {r["doc_id"]: r for r in toxicity.toxicity_rows(docs, None, model_sf01).collect()}
+    assert got[1]["exact_hits"] == 0 and got[1]["fuzzy_hits"] >= 3
+    assert got[1]["predicted"] == 1 and got[2]["predicted"] == 0 and got[1]["score"] <= got[3]["score"]
+
+
 def test_language_held_out(spark, edge_docs, make_docs):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = langid.fit(docs)
