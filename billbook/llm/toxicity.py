@@ -41,18 +41,16 @@ STEM_LETTERS = (4, 8)
 PRECISION = 0.96
 #: ... and it is in so many toxic sample documents, or in this share of them.
 LEAST = (3, 0.01)
+#: A word near a term is its misspelling unless less than this share of the
+#: sample documents that have the word is toxic; unseen words count as toxic.
 FUZZY_PRECISION = 0.6
-#: Only terms in this share of the toxic sample are looked for misspelled.
-FUZZY_SUPPORT = 0.05
 #: Edits allowed, by the term's length.
-EDITS = ((9, 2), (5, 1))
+EDITS = ((9, 2), (4, 1))
 WINDOW = 3
 QUOTED = 0.35
 #: What a misspelled hit counts, as a share of an exact one.
 MISSPELLED = 0.5
 CACHE = 400_000
-#: Longer words are no misspelling of a term of at most this length less two.
-LONGEST = 32
 
 #: Quotation marks, reporting cues and direct address.
 QUOTES = "\"“”„«»‘’"
@@ -112,48 +110,75 @@ def match(trie: dict, word: str, most: int) -> tuple[str, int] | None:
 class Scorer:
     """Hits of one lexicon in texts; words are looked up once per task."""
 
-    def __init__(self, exact: set[str], fuzzy: set[str]):
-        self.fuzzy_trie = build_trie(fuzzy)
+    def __init__(self, exact: set[str], fuzzy: set[str], innocent: frozenset[str] | set[str] = frozenset()):
+        self.innocent = innocent
         self.stems = {t for t in exact if not t.endswith("$")}
         self.whole = {t[:-1] for t in exact if t.endswith("$")}
-        self.cache: dict[str, tuple[str, int] | None] = {}
-        # A word within k edits of a term keeps one of k + 1 parts of it: the
-        # first at its start, the last at its end, or a middle one.
-        heads, tails, middles = set(), set(), set()
+        self.stem_letters = sorted({len(t) for t in self.stems})
+        self.cache: dict[str, tuple[str, int]] = {}
+        self.plain: set[str] = set()
+        # A word within k edits of a term keeps one of k + 1 parts of it whole,
+        # moved by what was put in or left out before it: by word length, the
+        # slices that may hold a part, and a trie of the terms with that part there.
+        slices: dict[int, dict[tuple[int, int], dict[str, set[str]]]] = {}
         for t in (t.rstrip("$") for t in fuzzy):
             k, n = edits_for(len(t)), len(t)
             cuts = [n * i // (k + 1) for i in range(k + 2)]
-            parts = [t[a:b] for a, b in zip(cuts, cuts[1:])]
-            heads.add(parts[0])
-            tails.add(parts[-1])
-            middles.update(parts[1:-1])
-        self.heads, self.tails, self.middles = tuple(sorted(heads)), tuple(sorted(tails)), sorted(middles)
+            for more in range(-k, k + 1):
+                at = slices.setdefault(n + more, {})
+                for a, b in zip(cuts, cuts[1:]):
+                    for moved in range(-k, k + 1):
+                        if abs(moved) + abs(more - moved) <= k and a + moved >= 0 and b + moved <= n + more:
+                            at.setdefault((a + moved, b + moved), {}).setdefault(t[a:b], set()).add(t + "$")
+        tries: dict[frozenset[str], dict] = {}
+
+        def trie_of(terms: set[str]) -> dict:
+            key = frozenset(terms)
+            if key not in tries:
+                tries[key] = build_trie(key)
+            return tries[key]
+
+        self.slices = {n: [(a, b, {part: trie_of(terms) for part, terms in parts.items()}) for (a, b), parts in at.items()]
+                       for n, at in slices.items()}
 
     def look(self, word: str) -> tuple[str, int] | None:
         """(term, distance) or None."""
-        got = self.cache.get(word, 0)
-        if got != 0:
-            return got
-        found = None
+        if word in self.plain:
+            return None
+        found = self.cache.get(word)
+        if found is not None:
+            return found
         if word in self.whole:
             found = (word + "$", 0)
         else:
-            stem = next((word[:n] for n in range(STEM_LETTERS[0], min(STEM_LETTERS[1], len(word)) + 1) if word[:n] in self.stems), None)
-            if stem is not None:
-                found = (stem, 0)
-            elif 4 <= len(word) <= LONGEST and self.heads and (
-                    word.startswith(self.heads) or word.endswith(self.tails) or any(m in word for m in self.middles)):
-                found = match(self.fuzzy_trie, word, edits_for(len(word) + 2))
-        if len(self.cache) >= CACHE:
+            for n in self.stem_letters:
+                if word[:n] in self.stems:
+                    found = (word[:n], 0)
+                    break
+            if found is None and word not in self.innocent:
+                walked = []
+                for a, b, parts in self.slices.get(len(word), ()):
+                    trie = parts.get(word[a:b])
+                    if trie is None or any(trie is t for t in walked):
+                        continue
+                    walked.append(trie)
+                    near = match(trie, word, edits_for(len(word) + 2))
+                    if near is not None and (found is None or near[::-1] < found[::-1]):
+                        found = near
+        if len(self.cache) + len(self.plain) >= CACHE:
             self.cache.clear()
-        self.cache[word] = found
+            self.plain.clear()
+        if found is None:
+            self.plain.add(word)
+        else:
+            self.cache[word] = found
         return found
 
     def hits(self, text: str) -> list[tuple[str, int, float]]:
         """(term, distance, context weight) of each hit."""
         low = text.lower()
         words = WORD.findall(low)
-        known = {w for w in set(words) if self.look(w) is not None}
+        known = {w for w in set(words) - self.plain if self.look(w) is not None}
         if not known:
             return []
         out = []
@@ -167,7 +192,7 @@ class Scorer:
             quoted = any(q in lead for q in QUOTES) and any(q in tail for q in QUOTES)
             quoted = quoted or bool(around & CUES)
             weight = QUOTED if quoted and not around & ADDRESS else 1.0
-            found = self.cache.get(w) or self.look(w)
+            found = self.look(w)
             out.append((found[0], found[1], weight))
         return out
 
@@ -221,24 +246,26 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> dict:
     chosen = {t for t, b in frequent.items() if b / (b + good.get(t, 0) + 0.3) >= PRECISION}
     # A longer stem or the whole word adds nothing where a shorter stem is kept.
     lexicon = {t for t in chosen if not any(t.rstrip("$")[:n] in chosen and t.rstrip("$")[:n] != t for n in range(STEM_LETTERS[0], len(t.rstrip("$")) + 1))}
-    # Misspelling is judged on whole words that many toxic texts share; a stem matches any ending as it is.
-    spelled = {t for t in chosen if t.endswith("$") and edits_for(len(t) - 1) and len(t) <= LONGEST - 1
-               and frequent[t] >= FUZZY_SUPPORT * n_bad}
+    # Misspelling is judged on whole words; a stem matches any ending as it is.
+    fuzzy = {t for t in chosen if t.endswith("$") and edits_for(len(t) - 1)}
 
-    def fuzzy_hits(batches):
-        scorer, seen = Scorer(lexicon, spelled), Counter()
+    def near_words(batches):
+        scorer, seen = Scorer(lexicon, fuzzy), Counter()
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for t in {t for t, d, _ in scorer.hits(text or "") if d}:
-                    seen[(t, 1 if toxic else 0)] += 1
-        rows = [(t, k, n) for (t, k), n in seen.items()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64())], names=["term", "toxic", "n"])
-
-    judged: dict[str, list[int]] = {}
-    if spelled:
-        for r in sample.mapInArrow(fuzzy_hits, "term string, toxic int, n long").groupBy("term", "toxic").agg(F.sum("n").alias("n")).toLocalIterator():
-            judged.setdefault(r["term"], [0, 0])[r["toxic"]] += r["n"]
-    fuzzy = {t for t in spelled if (judged.get(t, [0, 0])[1] + 1) / (sum(judged.get(t, [0, 0])) + 1) >= FUZZY_PRECISION}
+                for w in set(WORD.findall((text or "").lower())):
+                    found = scorer.look(w)
+                    if found is not None and found[1]:
+                        seen[(w, 1 if toxic else 0)] += 1
+        rows = [(w, k, n) for (w, k), n in seen.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64())], names=["word", "toxic", "n"])
+
+    # A spelling is judged, not its term: a clean neighbour ("oron") leaves the other spellings of "moron".
+    innocent: set[str] = set()
+    if fuzzy:
+        judged = sample.mapInArrow(near_words, "word string, toxic int, n long").groupBy("word").agg(
+            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("toxic")).alias("bad"))
+        innocent = {r["word"] for r in judged.filter(f"(bad + 1) / (n + 1) < {FUZZY_PRECISION}").select("word").toLocalIterator()}
 
     def measure(batches):
         scorer = Scorer(lexicon, set())  # misspelled hits are not fitted
@@ -250,7 +277,7 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> dict:
     points = sample.mapInArrow(measure, "exact double, fuzzy double, quoted double, toxic int").toArrow()  # ``size`` rows at most
     x = np.column_stack([points.column(i).to_numpy() for i in range(3)]) if points.num_rows else np.zeros((0, 3))
     y = points.column(3).to_numpy().astype(float) if points.num_rows else np.zeros(0)
-    return {"lexicon": lexicon, "fuzzy": fuzzy, "weights": logistic(inputs(x), y)}
+    return {"lexicon": lexicon, "fuzzy": fuzzy, "innocent": innocent, "weights": logistic(inputs(x), y)}
 
 
 def inputs(x: np.ndarray) -> np.ndarray:
@@ -280,10 +307,10 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 40, ridge: float = 0.05
 def toxicity_rows(docs: DataFrame, labels: DataFrame, model: dict | None = None) -> DataFrame:
     """doc_id, held_out, score, predicted, and the hit counts."""
     model = model or fit(docs, labels)
-    lexicon, fuzzy, weights = model["lexicon"], model["fuzzy"], np.array(model["weights"])
+    lexicon, fuzzy, innocent, weights = model["lexicon"], model["fuzzy"], model["innocent"], np.array(model["weights"])
 
     def score(batches):
-        scorer = Scorer(lexicon, fuzzy)
+        scorer = Scorer(lexicon, fuzzy, innocent)
         for batch in batches:
             x = np.array([scorer.features(t.as_py()) for t in batch.column(1)]).reshape(-1, 3)
             p = 1 / (1 + np.exp(-np.clip(inputs(x) @ weights, -30, 30)))

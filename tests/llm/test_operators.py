@@ -7,6 +7,7 @@ import hashlib
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -181,6 +182,33 @@ def test_misspelled_toxic_text_is_predicted(spark, make_docs, model_sf01):
     assert got[1]["predicted"] == 1 and got[2]["predicted"] == 0 and got[1]["score"] <= got[3]["score"]
 
 
+def test_rare_terms_are_matched_misspelled(make_docs, spark):
+    # 8 of 200 toxic texts share "scoundrel" and "twit"; "oron" is a clean neighbour of "moron".
+    bad = [f"you moron number{i} oron" if i % 4 else f"you moron number{i}" for i in range(192)] + ["scoundrel twit moron"] * 8
+    good = [f"the oron of place{i}" for i in range(200)]
+    rows = [i for i in range(1, 2000) if zlib.crc32(str(i).encode()) % 3 != 1][:400]
+    docs = make_docs(list(zip(rows, bad + good)))
+    labels = spark.createDataFrame([(i, int(n < 200)) for n, i in enumerate(rows)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    s = toxicity.Scorer(model["lexicon"], model["fuzzy"], model["innocent"])
+    assert s.look("skoundrel") == ("scoundrel$", 1) and s.look("twyt") == ("twit$", 1) and s.look("twt") == ("twit$", 1)
+    assert s.look("maron") == ("moron$", 1) and s.look("meron") == ("moron$", 1) and s.look("oron") is None
+
+
+def test_parts_of_terms_lose_no_spelling():
+    chance = np.random.default_rng(3)
+    terms = {"".join(chance.choice(list("abcd"), n)) + "$" for n in (4, 5, 6, 8, 9, 9, 11, 14, 33) for _ in range(8)}
+    s, trie = toxicity.Scorer(set(), terms), toxicity.build_trie(terms)
+    for term in sorted(terms):
+        for _ in range(40):
+            w = list(term[:-1])
+            for _ in range(chance.integers(1, 4)):
+                i, new = chance.integers(0, len(w)), [[], [chance.choice(list("abcd"))], list(chance.choice(list("abcd"), 2))]
+                w[i: i + 1] = new[chance.integers(0, 3)]
+            w = "".join(w)
+            assert s.look(w) == toxicity.match(trie, w, toxicity.edits_for(len(w) + 2))
+
+
 def test_language_held_out(spark, edge_docs, make_docs):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = langid.fit(docs)
