@@ -10,9 +10,10 @@ EDIT_SHARE of the item's length. Items run in blocks of BLOCK; each block is
 one pass over the documents, so what is shipped to tasks is bounded whatever
 the number of items.
 
-Edge cases: null or empty texts match nothing; items that are null or have
-fewer than SHORT characters are matched unchanged as whole words only; repeated
-items each get their rows; repeated documents too; extra columns are never read.
+Edge cases: null or empty texts match nothing, of documents and of items; an
+item with a text but a null id is an item like others, its rows have the null
+id; items of fewer than SHORT characters are matched unchanged as whole words
+only; repeated items each get their rows; repeated documents too; extra columns are never read.
 """
 
 from __future__ import annotations
@@ -76,7 +77,7 @@ def myers(pattern: str, text: str) -> tuple[int, int]:
 class Matcher:
     """The pieces of one block of items in an automaton."""
 
-    def __init__(self, items: list[tuple[int, str]], share: float = EDIT_SHARE):
+    def __init__(self, items: list[tuple[int | None, str]], share: float = EDIT_SHARE):
         self.items = [(i, normal(t)) for i, t in items]
         self.items = [(i, t) for i, t in self.items if t]
         self.k = [budget(len(t), share) for _, t in self.items]
@@ -96,7 +97,7 @@ class Matcher:
         """No letter or digit touches text[begin:begin + n]."""
         return not (text[max(0, begin - 1): begin].isalnum() or text[begin + n: begin + n + 1].isalnum())
 
-    def find(self, text: str) -> list[tuple[int, int, int, int]]:
+    def find(self, text: str) -> list[tuple[int | None, int, int, int]]:
         """(item_id, distance, places, first place) of the items in a
         normalised text."""
         if self.empty or not text:
@@ -139,14 +140,14 @@ class Matcher:
                     last_end = end
             if count:
                 out.append((item_id, best, count, first))
-        return sorted(out)
+        return sorted(out, key=lambda m: (m[0] is None, m[0] or 0, *m[1:]))
 
 
 def leak_rows(docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE, block: int = BLOCK) -> DataFrame:
     """One row per (document, item) within the item's budget: the least
     distance, how many places, and where the first stands in the normalised
     text."""
-    numbered = benchmark.select("item_id", "text").filter("item_id is not null and text is not null")
+    numbered = benchmark.select("item_id", "text").filter("text is not null")
     blocks = max(1, -(-numbered.count() // block))
     out = None
     for b in range(blocks):
@@ -173,7 +174,7 @@ def leak_rows(docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE,
 def without_leaks(docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE, block: int = BLOCK) -> DataFrame:
     """``docs`` without the rows whose text holds an item. The texts are
     filtered where they are read, block by block; nothing is shuffled."""
-    numbered = benchmark.select("item_id", "text").filter("item_id is not null and text is not null")
+    numbered = benchmark.select("item_id", "text").filter("text is not null")
     blocks = max(1, -(-numbered.count() // block))
     where = docs.columns.index("text")
     for b in range(blocks):

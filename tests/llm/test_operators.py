@@ -385,6 +385,16 @@ def test_decontamination(make_docs, spark, edge_docs):
     assert decontam.leak_rows(edge_docs, bench).count() == 0 and decontam.leak_rows(docs, bench.limit(0)).count() == 0
 
 
+def test_benchmark_items_without_id(make_docs, spark):
+    item = "which of the seven wizards brews a strange potion in the old tower near the river bank"
+    bench = spark.createDataFrame([(None, item), (1, item), (None, "tiny item"), (2, None)], "item_id long, text string")
+    docs = make_docs([(1, "start " + item + " end"), (2, "a tiny item here"), (3, "clean text")])
+    for block in (1, 5000):
+        got = {(r["doc_id"], r["item_id"], r["distance"]) for r in decontam.leak_rows(docs, bench, block=block).collect()}
+        assert got == {(1, None, 0), (1, 1, 0), (2, None, 0)}
+        assert [r["doc_id"] for r in decontam.without_leaks(docs, bench, block=block).collect()] == [3]
+
+
 def test_myers_equals_dynamic_programming():
     import random
     rnd = random.Random(2)
