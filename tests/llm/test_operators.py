@@ -81,6 +81,17 @@ def test_near_duplicates_edge_rows(edge_docs, make_docs):
     assert minhash.near_duplicate_rows(make_docs([])).count() == 0
 
 
+def test_one_row_of_each_component_stays(make_docs):
+    def text(name):
+        return " ".join(f"{name}{i}" for i in range(60))
+    rows = [(1, text("a")), (2, text("a") + " more"), (2, text("b")), (3, text("c")), (3, text("d")), (None, text("c")),
+            (None, text("e")), (None, text("e")), (None, text("f")), (4, text("g")), (4, text("g")), (4, text("g").upper()),
+            (5, ""), (5, ""), (None, None), (None, None)]
+    got = collections.Counter((r["doc_id"], (r["text"] or "").lower()) for r in minhash.without_near_duplicates(make_docs(rows), 5).collect())
+    assert got == {(1, text("a")): 1, (2, text("b")): 1, (3, text("c")): 1, (3, text("d")): 1, (None, text("e")): 1,
+                   (None, text("f")): 1, (4, text("g")): 1, (5, ""): 2, (None, ""): 2}
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (5, 5)], "a long, b long")
     got = {r["node"]: r["component"] for r in components(links).collect()}
