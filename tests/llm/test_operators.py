@@ -81,6 +81,19 @@ def test_near_duplicates_edge_rows(edge_docs, make_docs):
     assert minhash.near_duplicate_rows(make_docs([])).count() == 0
 
 
+def test_rounds_go_on_without_a_link(make_docs, monkeypatch):
+    base, real, calls = [f"w{i}" for i in range(200)], minhash.agreeing, []
+
+    def first_fails(pairs, nodes, percent):
+        calls.append(1)
+        found = real(pairs, nodes, percent)
+        return found.limit(0) if len(calls) == 1 else found
+    monkeypatch.setattr(minhash, "agreeing", first_fails)
+    docs = make_docs([(i, " ".join(base[:50 * i] + [f"x{i}"] + base[50 * i:])) for i in range(1, 4)])
+    # The first pivot's pairs are lost here, the pair of the two others is not.
+    assert len({r["component_id"] for r in minhash.near_duplicate_rows(docs, 2, 80).collect()}) == 2 and len(calls) > 1
+
+
 def test_one_row_of_each_component_stays(make_docs):
     def text(name):
         return " ".join(f"{name}{i}" for i in range(60))
