@@ -3,14 +3,14 @@ whole table."""
 
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from billbook.llm import bpe, decontam, langid, licenses, lpf, minhash, quality, ring, secrets, toxicity
+from billbook.llm import audit, bpe, decontam, langid, lexical, licenses, lpf, minhash, quality, ring, secrets, toxicity
 from billbook.llm.common import table
 
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+#: Vocabulary of operator 2 (a parameter of its functions).
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,7 +18,7 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.token_rows(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+    return bpe.token_rows(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
 def op3_bounded_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,10 +53,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leak_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_bpe_codec, op3_bounded_ring_shards, op4_toxicity, op5_language_id,
-    op6_quality_rules, op7_license_scan, op8_repeat_removal, op9_secret_scan, op10_decontamination)}
+    op6_quality_rules, op7_license_scan, op8_repeat_removal, op9_secret_scan, op10_decontamination,
+    op12_ranked_search, op13_filter_audit)}
 
-#: None of these can be written as one SQL query over the tables; the tests
+#: The others can't be written as one SQL query over the tables; the tests
 #: hold them against brute force, round trips or held-out labels.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op12_ranked_search": lexical.ORACLE, "op13_filter_audit": audit.ORACLE}
