@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from billbook.llm import audit, bpe, decontam, langid, lexical, licenses, lpf, minhash, quality, ring, secrets, toxicity
+from billbook.llm import audit, bpe, decontam, langid, lexical, licenses, lpf, minhash, pii, quality, ring, secrets, toxicity
 from billbook.llm.common import table
 
 #: Vocabulary of operator 2 (a parameter of its functions).
@@ -53,6 +53,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leak_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_rows(table(spark, sf_dir, "documents"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -64,7 +68,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_bpe_codec, op3_bounded_ring_shards, op4_toxicity, op5_language_id,
     op6_quality_rules, op7_license_scan, op8_repeat_removal, op9_secret_scan, op10_decontamination,
-    op12_ranked_search, op13_filter_audit)}
+    op11_personal_data, op12_ranked_search, op13_filter_audit)}
 
 #: The others can't be written as one SQL query over the tables; the tests
 #: hold them against brute force, round trips or held-out labels.
