@@ -48,8 +48,8 @@ STRETCH = 1 << 22
 PLACE_BITS = np.uint64(24)
 
 QUARTERS = 4
-SEGMENTS = "doc_id long, tag int, lo int, bytes binary, quarters array<struct<h:long,first:int,n:int>>"
-RUNS = "doc_id long, tag int, key long, kind int, g long, f long, lo int, n int"
+SEGMENTS = "doc_id long, tag long, lo int, bytes binary, quarters array<struct<h:long,first:int,n:int>>"
+RUNS = "doc_id long, tag long, key long, kind int, g long, f long, lo int, n int"
 
 
 def runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, k: int = K) -> dict[str, np.ndarray]:
@@ -100,13 +100,15 @@ def _stretches(data: np.ndarray, offsets: np.ndarray, length: int):
 
 
 def _tagged(docs: DataFrame) -> DataFrame:
-    """doc_id, text, and a checksum that tells rows of one doc_id apart."""
-    return docs.select("doc_id", "text", F.xxhash64("text").bitwiseAND(0x7FFF).cast("int").alias("tag"))
+    """doc_id, text, and a 64-bit checksum that tells rows of one doc_id (or
+    of none) apart."""
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("tag"))
 
 
 def anchored_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The runs of all documents. ``kind`` 0: the anchor is alone in its
-    batch; 1: the first of several; 2: the others, which need not meet."""
+    batch; 1: the first of several; 2: the others, which need not meet. ``g``
+    is null where it equals ``key``, which leaves those bytes out of the shuffle."""
     def find(batches):
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
@@ -130,7 +132,7 @@ def anchored_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             picked = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(picked), batch.column(2).take(picked), long_array(key), pa.array(kind),
-                 long_array(g), long_array(f), pa.array(lo.astype(np.int32)), pa.array(n.astype(np.int32))],
+                 pa.array(g.view(np.int64), mask=kind < 2), long_array(f), pa.array(lo.astype(np.int32)), pa.array(n.astype(np.int32))],
                 names=["doc_id", "tag", "key", "kind", "g", "f", "lo", "n"])
 
     return _tagged(docs).select("doc_id", "text", "tag").mapInArrow(find, RUNS)
@@ -142,7 +144,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     found = anchored_runs(docs, length)
     alone = F.count("*").over(Window.partitionBy("key"))
     shared = materialize(
-        found.withColumn("c", alone).filter("c > 1 or kind > 0").select("doc_id", "tag", "g", "f", "lo", "n"), "runs")
+        found.withColumn("c", alone).filter("c > 1 or kind > 0")
+        .select("doc_id", "tag", F.coalesce("g", "key").alias("g"), "f", "lo", "n"), "runs")
     here = F.struct("doc_id", "tag", "lo")
     first = materialize(shared.groupBy("g", "f").agg(F.min(here).alias("at"), F.max("n").alias("n"), F.count("*").alias("c")), "firsts")
     many = first.filter("c > 1").select("g", "f", "at")
@@ -190,16 +193,18 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             tag = batch.column(1).to_numpy().astype(np.int64)
             order = np.lexsort((at, tag[row], doc[row], h))
             row, at, h = row[order], at[order], h[order]
-            late = np.zeros(len(h), dtype=bool)
-            late[1:] = h[1:] == h[:-1]
+            # The first row of each prefix; a repeated row's start is that start, not a later one.
+            head = np.searchsorted(h, h)
+            own = tag[row], doc[row], at
+            late = np.any([c != c[head] for c in own], axis=0)
             key = np.where(late, mix64(h + np.arange(len(h), dtype=np.uint64)), h)
             picked = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(picked), batch.column(1).take(picked), long_array(key), pa.array(at.astype(np.int32)), pa.array(late)],
                 names=["doc_id", "tag", "key", "lo", "late"])
 
-    starts = opened.mapInArrow(open_starts, "doc_id long, tag int, key long, lo int, late boolean")
-    later = F.row_number().over(Window.partitionBy("key").orderBy("late", "doc_id", "tag", "lo"))
+    starts = opened.mapInArrow(open_starts, "doc_id long, tag long, key long, lo int, late boolean")
+    later = F.rank().over(Window.partitionBy("key").orderBy("late", "doc_id", "tag", "lo"))
     late = (starts.withColumn("place", later).filter("place > 1 or late")
             .select("doc_id", "tag", F.col("lo").alias("start"), (F.col("lo") + length).alias("stop")))
     return whole.unionAll(late)
