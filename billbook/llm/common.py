@@ -63,17 +63,18 @@ def held_out(doc_id: Column) -> Column:
 LEVELS = 16
 
 
-def sample_cut(rows: DataFrame, size: int, group: str | None = None) -> tuple[Column, dict]:
+def sample_cut(rows: DataFrame, size: int, group: str | None = None, by: Column | str = "doc_id") -> tuple[Column, dict, dict]:
     """A condition that keeps at most ``size`` rows (of each value of
-    ``group``), chosen by the hash of doc_id, and how many rows it keeps.
+    ``group``), chosen by the hash of ``by``; how many rows it keeps, and how
+    many there are.
 
     A row's level grows as its hash gets smaller; levels are counted over all
     rows (map-side combined, at most 53 * LEVELS counts a group reach the
     driver) and rows from the lowest level up whose counts stay within ``size`` are
     kept. No sort or window, so a hot group is no task of its own. Rows of one
-    id stand or fall together; if a group's rarest level alone is over
+    ``by`` stand or fall together; if a group's rarest level alone is over
     ``size``, the group has no sample."""
-    unit = (F.shiftrightunsigned(F.xxhash64("doc_id"), 11).cast("double") + 1) / float(1 << 53)
+    unit = (F.shiftrightunsigned(F.xxhash64(by), 11).cast("double") + 1) / float(1 << 53)
     level = F.floor(-F.log2(unit) * LEVELS).cast("int")
     key = F.col(group) if group else F.lit(None).cast("string")
     counted = rows.groupBy(key.alias("part"), level.alias("level")).count().collect()
@@ -90,7 +91,7 @@ def sample_cut(rows: DataFrame, size: int, group: str | None = None) -> tuple[Co
         if cut is not None:
             keep = keep | (key.eqNullSafe(F.lit(part)) & (level >= cut))
             sizes[part] = total
-    return keep, sizes
+    return keep, sizes, {part: sum(found.values()) for part, found in levels.items()}
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

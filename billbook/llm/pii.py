@@ -365,9 +365,9 @@ def learn(rows: DataFrame, size: int = SAMPLE) -> dict:
     counted = materialize(spans.groupBy("kind", "votes", "slots").count(), "pii-distinct")
     patterns = counted.groupBy("kind", "votes").agg(F.sum("count").alias("n")).collect()  # 3 ** 8 a kind at most
     em = reliabilities([(r["kind"], r["votes"], r["n"]) for r in patterns])
-    keep, _ = sample_cut(counted.withColumn("doc_id", F.xxhash64("kind", "votes", "slots")), size)
-    chosen = counted.withColumn("doc_id", F.xxhash64("kind", "votes", "slots")).filter(keep)
-    points = [(r["kind"], r["votes"], list(r["slots"]), r["count"]) for r in chosen.orderBy("kind", "votes", "slots").collect()]
+    keep, *_ = sample_cut(counted, size, by=F.xxhash64("kind", "votes", "slots"))
+    chosen = counted.filter(keep).orderBy("kind", "votes", "slots")
+    points = [(r["kind"], r["votes"], list(r["slots"]), r["count"]) for r in chosen.collect()]
     return {**em, "classifier": fit_classifier(points, em)}
 
 

@@ -204,13 +204,17 @@ class Scorer:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """(text, toxic) of at most ``size`` labelled rows that are not held out."""
+    """(text, toxic) of at most ``size`` labelled rows that are not held out;
+    rows that share doc_id and text are one."""
     marked = (labels.filter(train_row(F.col("doc_id")) & F.col("toxic").isNotNull())
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    keep, _ = sample_cut(marked, size)
-    chosen = marked.filter(keep)
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    # Counted after the join: many rows may share a labelled id.
+    labelled = materialize(rows.select("doc_id", "text_hash").join(marked, "doc_id").distinct(), "toxic-labelled")
+    keep, *_ = sample_cut(labelled, size, by=F.xxhash64("doc_id", "text_hash"))
     # ``size`` rows at most: a fixed bound, so broadcast.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    found = rows.join(F.broadcast(labelled.filter(keep)), ["doc_id", "text_hash"])
+    return found.dropDuplicates(["doc_id", "text_hash"]).select("text", "toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> dict:
