@@ -11,6 +11,10 @@ corrected share decides.
 The fit uses at most SAMPLE documents per language, chosen by hashed id; the filter has a fixed size and is shipped with the tasks. Every
 document is scored whole.
 
+Equal shares, and texts none of whose n-grams is known (such as two letters or
+another script), go to the language with more training rows, then the one
+that sorts first; the score is then the winner's part of a tie.
+
 Edge cases: a null text or one without letters is ``und`` with score 0; with no
 training rows every text is ``und``; ids, sources and labels are never inputs;
 extra columns are never read; repeated rows are scored alike.
@@ -32,7 +36,7 @@ HASHES = 2
 SAMPLE = 1500
 #: An n-gram belongs to a language if this share of its sample documents has it.
 SHARE = 0.02
-MOST_LANGUAGES = 64
+MASK = 64
 LETTER = r"\p{L}"
 
 OUT = "doc_id long, lang_pred string, score double"
@@ -64,12 +68,12 @@ def _lower(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return text_bytes(pc.utf8_lower(column))
 
 
-def sample_per_language(docs: DataFrame, size: int = SAMPLE) -> tuple[DataFrame, dict[str, int]]:
-    """(text, lang) of at most ``size`` training rows per language, and how
-    many each has."""
+def sample_per_language(docs: DataFrame, size: int = SAMPLE) -> tuple[DataFrame, dict[str, int], dict[str, int]]:
+    """(text, lang) of at most ``size`` training rows per language, how many
+    each has there, and in all."""
     rows = docs.filter(train_row(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    keep, sizes = sample_cut(rows, size, "lang")
-    return rows.filter(keep).select("text", "lang"), sizes
+    keep, sizes, totals = sample_cut(rows, size, "lang")
+    return rows.filter(keep).select("text", "lang"), sizes, totals
 
 
 def fit(docs: DataFrame, size: int = SAMPLE, share: float = SHARE) -> dict:
@@ -84,11 +88,10 @@ def fit(docs: DataFrame, size: int = SAMPLE, share: float = SHARE) -> dict:
                     own = np.unique(h[row == i]) if b - a > 1 else np.unique(h)
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own), pa.string()), pa.array(own.view(np.int64))], names=["lang", "gram"])
 
-    sample, sizes = sample_per_language(docs, size)
-    languages = sorted(sizes)[:MOST_LANGUAGES]
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"at most {MOST_LANGUAGES} languages fit a mask, found {len(sizes)}")
-    masks = np.zeros(SLOTS, dtype=np.uint64)
+    sample, sizes, totals = sample_per_language(docs, size)
+    languages = sorted(sizes, key=lambda x: (-totals[x], x))  # the order breaks ties
+    number = {x: i for i, x in enumerate(languages)}
+    masks = np.zeros((max(1, -(-len(languages) // MASK)), SLOTS), dtype=np.uint64)
     if languages:
         least = F.coalesce(*[F.when(F.col("lang") == x, F.lit(max(2.0, share * n))) for x, n in sizes.items()])
         found = (sample.mapInArrow(count, "lang string, gram long").groupBy("lang", "gram").count()
@@ -96,10 +99,11 @@ def fit(docs: DataFrame, size: int = SAMPLE, share: float = SHARE) -> dict:
         # A gram of a language occurs in 2 % of its sample: bounded by the sample, not by the corpus.
         for r in found.select("lang", "gram").toArrow().to_batches():
             h = r.column(1).to_numpy().view(np.uint64)
-            bit = np.uint64(1) << np.array([languages.index(x) for x in r.column(0).to_pylist()], dtype=np.uint64)
+            own = np.array([number[x] for x in r.column(0).to_pylist()], dtype=np.uint64)
+            word, bit = (own // np.uint64(MASK)).astype(np.int64), np.uint64(1) << (own % np.uint64(MASK))
             for k in range(HASHES):
-                np.bitwise_or.at(masks, _slots(h, k), bit)
-    fill = [float(np.mean((masks >> np.uint64(i)) & np.uint64(1))) for i in range(len(languages))]
+                np.bitwise_or.at(masks, (word, _slots(h, k)), bit)
+    fill = [float(np.mean((masks[i // MASK] >> np.uint64(i % MASK)) & np.uint64(1))) for i in range(len(languages))]
     return {"languages": languages, "masks": masks.astype(np.uint8) if len(languages) <= 8 else masks,
             "false_positive": [f ** HASHES for f in fill]}
 
@@ -108,13 +112,14 @@ def shares(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Corrected share of each row's n-grams that each language contains."""
     h, row = grams(data, offsets)
     n = len(offsets) - 1
-    hit = model["masks"][_slots(h, 0)]
-    for k in range(1, HASHES):
-        hit = hit & model["masks"][_slots(h, k)]
+    slots = [_slots(h, k) for k in range(HASHES)]
     total = np.maximum(np.bincount(row, minlength=n), 1)
     out = np.zeros((n, len(model["languages"])))
     for i, fp in enumerate(model["false_positive"]):
-        bits = (hit >> hit.dtype.type(i)) & hit.dtype.type(1)
+        if i % MASK == 0:
+            masks = model["masks"][i // MASK]
+            hit = np.bitwise_and.reduce([masks[s] for s in slots])
+        bits = (hit >> hit.dtype.type(i % MASK)) & hit.dtype.type(1)
         raw = np.bincount(row, weights=bits, minlength=n) / total
         out[:, i] = np.clip((raw - fp) / max(1e-9, 1 - fp), 0, 1)
     return out

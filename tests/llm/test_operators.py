@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from billbook.llm import bpe, decontam, langid, licenses, lpf, minhash, quality, ring, secrets, toxicity
 from billbook.llm.common import sample_cut
 from billbook.llm.components import components
-from billbook.llm.queries import QUERIES, TOKENIZERS
+from billbook.llm.queries import QUERIES, VOCABULARY
 
-BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
+BPE = VOCABULARY
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -308,6 +308,37 @@ def test_license_blocks_equal_brute_force(corpus):
             assert t.best(doc) == pytest.approx(best if best >= 0.8 else 0)
 
 
+def test_language_past_one_mask_word(make_docs):
+    """150 made-up languages, each with its own words."""
+    import random
+
+    rnd = random.Random(4)
+    words = [["".join(rnd.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(12)] for _ in range(150)]
+
+    def text(i):
+        return " ".join(rnd.choice(words[i]) for _ in range(30))
+
+    rows = [(i * 20 + j, text(i), f"l{i:03}") for i in range(150) for j in range(20)]
+    got = langid.language_rows(make_docs(rows)).collect()
+    want = {r[0]: r[2] for r in rows}
+    assert sum(r["lang_pred"] == want[r["doc_id"]] for r in got) >= 0.99 * len(rows)
+    assert langid.fit(make_docs(rows))["masks"].shape[0] == 3
+
+
+def test_language_ties_go_to_the_commoner_language(make_docs):
+    rows = [(i, "some words of a text", "zz") for i in range(40)] + [(100 + i, "mots entiers", "aa") for i in range(10)]
+    rows += [(200, "ab", None), (201, "日本語", None), (202, "12", None)]
+    got = {r["doc_id"]: r for r in langid.language_rows(make_docs(rows)).collect()}
+    assert [got[i]["lang_pred"] for i in (200, 201, 202)] == ["zz", "zz", "und"]
+    assert [got[i]["score"] for i in (200, 201, 202)] == [0.5, 0.5, 0.0]
+
+
+def test_toxicity_sample_is_bounded_when_documents_share_an_id(spark, make_docs):
+    rows = [(2, f"text number {i % 900} of one id") for i in range(3000)] + [(i, f"own text {i}") for i in range(10, 400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)] + [(None, 1)], "doc_id long, toxic int")
+    assert 30 <= toxicity.training_rows(make_docs(rows), labels, 100).count() <= 100
+
+
 def brute_repeats(texts, length):
     seen, out = set(), {}
     for d, text in sorted(texts.items()):
@@ -335,6 +366,31 @@ def test_repeats_equal_brute_force(spark, sf_small, corpus, make_docs, edge_docs
     assert lpf.without_repeats(edge_docs.limit(0)).count() == 0
 
 
+def test_repeats_among_rows_without_or_with_one_id(spark, make_docs):
+    import random
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(8)
+
+    def text(n):
+        return "".join(rnd.choice("abcdefgh ij") for _ in range(n))
+
+    shared = [text(160) for _ in range(12)]
+    rows = [(None, text(rnd.randint(0, 260))) for _ in range(1000)]
+    rows += [(rnd.choice([None, 7]), text(rnd.randint(0, 90)) + rnd.choice(shared)[rnd.randint(0, 50):] + text(30)) for _ in range(200)]
+    rows += [(7, text(rnd.randint(90, 200))) for _ in range(200)] + [(9, shared[0] + text(40))] * 3 + [(8, text(300))] * 2
+    rnd.shuffle(rows)
+    docs = make_docs(rows).repartition(5)
+    tags = {r["text"]: r["tag"] for r in docs.select("text", F.xxhash64("text").alias("tag")).distinct().collect()}
+    order = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, tags[r[1]]))
+    want = brute_repeats({i: t for i, (_, t) in enumerate(order)}, 100)
+    found = lpf.without_repeats(docs, keep_text=True).collect()
+    place = {(d, hashlib.sha256(t.encode()).hexdigest()): i for i, (d, t) in enumerate(order)}
+    assert len(found) == len(rows) and len(place) == len(order)
+    want_rows = sorted((str(d), *want[place[d, hashlib.sha256(t.encode()).hexdigest()]]) for d, t in rows)
+    assert sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in found) == want_rows
+
+
 def test_long_texts_are_cut_into_stretches(make_docs, monkeypatch):
     monkeypatch.setattr(lpf, "STRETCH", 1 << 10)
     import random
