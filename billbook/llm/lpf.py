@@ -149,8 +149,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     here = F.struct("doc_id", "tag", "lo")
     first = materialize(shared.groupBy("g", "f").agg(F.min(here).alias("at"), F.max("n").alias("n"), F.count("*").alias("c")), "firsts")
     many = first.filter("c > 1").select("g", "f", "at")
-    whole = (shared.join(many, ["g", "f"]).filter(~here.eqNullSafe(F.col("at")))
-             .select("doc_id", "tag", F.col("lo").alias("start"), (F.col("lo") + F.col("n") + length - 1).alias("stop")))
+    # Written on its own, so that its shuffles are given back before those of the starts come.
+    whole = materialize(
+        shared.join(many, ["g", "f"]).filter(~here.eqNullSafe(F.col("at")))
+        .select("doc_id", "tag", F.col("lo").alias("start"), (F.col("lo") + F.col("n") + length - 1).alias("stop")), "whole")
     varied = first.groupBy("g").agg(F.count("*").alias("v")).filter("v > 1").select("g")
     edges = (first.join(varied, "g").select("at.*", "g", "n")
              .groupBy("doc_id", "tag").agg(F.collect_list(F.struct("g", "lo", "n")).alias("runs")))
