@@ -173,6 +173,14 @@ def control_row(df: DataFrame, assunto: str, ts_proc: str) -> DataFrame:
     return g.select(*cols, F.lit(ts_proc).alias("ts_proc"), "qtd_registros")
 
 
+def book_control_row(spark: SparkSession, assunto: str, ref: str, ts_proc: str, qtd_registros: int | Column) -> DataFrame:
+    """Control row of a book: subject, run date, run stamp and its rows (the
+    count that its write observed, or a scalar subquery)."""
+    return spark.range(1).select(
+        F.lit(assunto).alias("assunto"), F.lit(ref).alias("ref"), F.lit(ts_proc).alias("ts_proc"),
+        _lit(qtd_registros).cast("bigint").alias("qtd_registros"))
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per named table with its row count (a union of global
     counts, planned as one job)."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from billbook.operators.book import book_by_cohort
@@ -41,10 +41,12 @@ class BookResult:
         return book_by_cohort(self.stage, self.dt_proc, anchor=self.ref_date)
 
 
-def build_book(invoices: DataFrame, payments: DataFrame, dt_proc: str, ref_date: str | None = None) -> BookResult:
+def build_book(invoices: DataFrame, payments: DataFrame, dt_proc: str, ref_date: str | None = None,
+               seen: Observation | None = None) -> BookResult:
     """The book plan. With ``ref_date`` the invoices are cut to that cohort,
     unpaid delay is measured to ``ref_date`` and windows are anchored on it;
-    without it each client's newest emission date anchors its windows."""
+    without it each client's newest emission date anchors its windows.
+    ``seen`` counts the deduplicated invoices as they pass (``invoices``)."""
     inv = invoices if ref_date is None else invoices_for_cohort(invoices, ref_date)
     pay = payments
     if ref_date is not None:
@@ -53,7 +55,10 @@ def build_book(invoices: DataFrame, payments: DataFrame, dt_proc: str, ref_date:
         # partitioning it shares) skips deduplicating every other payment.
         # AQE turns it into a broadcast when the cohort's keys are small.
         pay = payments.join(inv.select("id_cliente", "id_fatura"), ["id_cliente", "id_fatura"], "left_semi")
-    joined = invoice_payment_join(latest_invoices(inv), latest_payments(pay))
+    newest = latest_invoices(inv)
+    if seen is not None:
+        newest = newest.observe(seen, F.count(F.lit(1)).alias("invoices"))
+    joined = invoice_payment_join(newest, latest_payments(pay))
     stage = stage_invoices(classified(joined, ref_date), dt_proc)
     return BookResult(stage=stage, dt_proc=dt_proc, ref_date=ref_date)
 
@@ -73,47 +78,51 @@ def run_book(spark, lake_root: str, dt_proc: str, ref_date: str | None = None) -
     """Build, check and publish the stage and the book from the trusted
     tables under ``lake_root``.
 
-    Every attempt has a staging folder of its own, so what an interrupted run
-    left behind is never read. The stage is written there first, its rows are
-    reconciled with the invoice keys, and the book is computed from those files: the long dedup/join lineage is cut by a table on the
-    shared file system, so a lost executor only recomputes from the stage.
-    The book is checked from its written files; only when the check passes
-    are stage and book moved into their tables (check first, then publish
-    both). Quality and lineage rows are appended either way / on success.
+    The stage is written first, as a run that no reader sees, and the book is
+    computed from those files: the long dedup/join lineage is cut by a table on
+    the shared file system, so a lost executor only recomputes from the stage.
+    Rows are counted as they pass, not by jobs of their own. The book is
+    checked from its written files; only when the check passes does one commit
+    record publish both tables (check first, then publish both). A run broken
+    anywhere leaves what was published before; a run repeated with its
+    ``dt_proc`` replaces its own stage and book. Quality rows are appended
+    either way, lineage and control rows on success.
     """
-    import uuid
-
     from billbook.operators.book import BOOK_KEYS
-    from billbook.operators.observability import IntegritySpec, check_integrity, lineage_row, record_lineage
+    from billbook.operators.observability import IntegritySpec, book_control_row, check_integrity, lineage_row, record_lineage
     from billbook.schemas import INVOICE_KEYS, INVOICES, PAYMENTS, STAGE
-    from billbook.sinks.parquet import append_partitioned
+    from billbook.sinks.commits import commit, drop_run, new_run, read_runs, write_run
+    from billbook.sinks.parquet import append_rows
     from billbook.sources.lake import read_table
-    from billbook.sources.paths import publish
 
     invoices = read_table(spark, layer(lake_root, "trusted", "tb_01_fatura"), INVOICES)
     payments = read_table(spark, layer(lake_root, "trusted", "tb_02_pagamento"), PAYMENTS)
-    staging = layer(lake_root, "_staging", f"{dt_proc}-{uuid.uuid4().hex[:12]}")
-    res = build_book(invoices, payments, dt_proc, ref_date)
-
-    append_partitioned(res.stage, layer(staging, "stage_fatura"), ["ref"])
-    stage = read_table(spark, layer(staging, "stage_fatura"), STAGE)
-    source = invoices if ref_date is None else invoices_for_cohort(invoices, ref_date)
-    expected = source.select(*INVOICE_KEYS).distinct().count()
-    staged = stage.count()
-    if staged != expected:
-        raise ValueError(f"stage_fatura: {staged} rows staged, {expected} invoices expected")
-    book = build_book_from_stage(stage, dt_proc, ref_date)
-    append_partitioned(book, layer(staging, "book_fatura"), ["ref"])
-    written = spark.read.parquet(layer(staging, "book_fatura"))
-    written = written.withColumn("ref", written["ref"].cast("string"))
-
-    report = check_integrity(written, "book_fatura", dt_proc, IntegritySpec(BOOK_KEYS, BOOK_KEYS),
-                             layer(lake_root, "qualidade"))
-    publish(spark, layer(staging, "stage_fatura"), layer(lake_root, "refined", "stage_fatura"))
-    publish(spark, layer(staging, "book_fatura"), layer(lake_root, "refined", "book_fatura"))
+    stage_table, book_table = (layer(lake_root, "refined", t) for t in ("stage_fatura", "book_fatura"))
+    run = new_run(dt_proc)
+    try:
+        seen = Observation(f"invoices_{run}")
+        staged = write_run(build_book(invoices, payments, dt_proc, ref_date, seen).stage, stage_table, run)
+        if staged.rows != (seen.get.get("invoices") or 0):
+            # A task run again after a lost executor may be counted twice on
+            # the way in: only then are the invoice keys counted on their own.
+            source = invoices if ref_date is None else invoices_for_cohort(invoices, ref_date)
+            expected = source.select(*INVOICE_KEYS).distinct().count()
+            if staged.rows != expected:
+                raise ValueError(f"stage_fatura: {staged.rows} rows staged, {expected} invoices expected")
+        stage = read_runs(spark, stage_table, [run], STAGE)
+        plan = build_book_from_stage(stage, dt_proc, ref_date)
+        book = write_run(plan, book_table, run)
+        report = check_integrity(read_runs(spark, book_table, [run], plan.schema), "book_fatura", dt_proc,
+                                 IntegritySpec(BOOK_KEYS, BOOK_KEYS, expected=book.rows), layer(lake_root, "qualidade"))
+    except Exception:
+        drop_run(spark, stage_table, run)
+        drop_run(spark, book_table, run)
+        raise
+    commit(spark, f"book-{dt_proc}", dt_proc, [staged, book])
     record_lineage(layer(lake_root, "controle"),
-                   lineage_row(spark, "book_fatura", dt_proc, report["total_registros"],
+                   lineage_row(spark, "book_fatura", dt_proc, book.rows,
                                "trusted/tb_01_fatura + tb_02_pagamento", "safras_consolidadas"))
+    append_rows(book_control_row(spark, "book_fatura", (ref_date or dt_proc).replace("-", "")[:8], dt_proc, book.rows), layer(lake_root, "controle_book"))
     return report
 
 

@@ -39,6 +39,7 @@ from billbook.plans.trusted import (
     trusted_payments,
     trusted_payments_daily,
 )
+from billbook.sinks.commits import new_run, write_run
 from billbook.sinks.csv import export_csv
 from billbook.sinks.parquet import append_partitioned
 from billbook.sources import lake, raw
@@ -338,6 +339,12 @@ def q_control_row_payments(spark, sf):
     return O.control_row(q_trusted_payments_daily(spark, sf), "pagamento", TS_PROC)
 
 
+def q_control_row_book(spark, sf):
+    table = scratch_dir(spark, "refined") + "/book_01"
+    book = write_run(B.book_by_client(_joined(spark, sf), AS_OF, TS_PROC), table, new_run(TS_PROC), ["ref", "ts_proc"])
+    return O.book_control_row(spark, "Book_transacoes_01", AS_OF.replace("-", ""), TS_PROC, book.rows)
+
+
 def q_row_counts_by_table(spark, sf):
     t = _tables(spark, sf)
     return O.row_counts({
@@ -519,6 +526,7 @@ QUERIES: dict[str, Query] = {
     "lineage_row": q_lineage_row,
     "control_row": q_control_row,
     "control_row_payments": q_control_row_payments,
+    "control_row_book": q_control_row_book,
     "row_counts_by_table": q_row_counts_by_table,
     "dup_invoice_ids": q_dup_invoice_ids,
     "dup_payment_ids": q_dup_payment_ids,

@@ -90,20 +90,15 @@ def load_trusted(
 ) -> dict:
     """Type, check and append one raw load to its ``ref``-partitioned table.
 
-    The raw text is parsed once: typed rows are written to a hidden staging
-    folder of the table (``_staging/...``, ignored by readers) while an
-    ``Observation`` in the write stage counts them. The checks then run on
-    the staged Parquet (a columnar read of the key and required columns),
-    reconciling against that count; the quality row is appended either way.
-    Only when every check passes are the staged files moved into the table
-    (rename, no copy), so a failed load leaves the table untouched.
+    The raw text is parsed once: typed rows are written as a run of the table
+    that no reader sees yet, and counted on the way. The checks then read that
+    Parquet (the key and required columns), reconciling against the count; the
+    quality row is appended either way. Only when every check passes is the
+    run published, by one commit record; a failed load leaves the table
+    untouched, and loading again with the same ``dt_proc`` replaces the load.
     """
-    import uuid
-
-    from pyspark.sql import Observation
-
     from billbook.schemas import INVOICES, PAYMENTS
-    from billbook.sources.paths import publish
+    from billbook.sinks.commits import commit, drop_run, new_run, read_runs, write_run
 
     if kind == "fatura":
         typed, keys, req, table, schema = trusted_invoices(raw, dt_proc), INVOICE_SPEC_KEYS, INVOICE_REQUIRED, "tb_01_fatura", INVOICES
@@ -112,18 +107,15 @@ def load_trusted(
     else:
         raise ValueError(f"unknown load kind {kind!r}")
     spark = raw.sparkSession
-    staging = f"{table_path.rstrip('/')}/_staging/{dt_proc}-{uuid.uuid4().hex[:8]}"
-    rows = Observation(f"{table}_rows_{uuid.uuid4().hex[:8]}")
-    # Observed after the rebalance: the count runs in the write (result)
-    # stage, where a retried task's update is applied only once.
-    out = typed.hint("rebalance", "ref").observe(rows, F.count(F.lit(1)).alias("n"))
-    out.write.mode("overwrite").partitionBy("ref").parquet(staging)
-    produced = int(rows.get["n"])
-
-    staged = spark.read.schema(schema).parquet(staging)
-    spec = IntegritySpec(keys=keys, not_null=req, expected=produced, tolerance=0.0)
-    report = check_integrity(staged, table, dt_proc, spec, quality_path)
-    publish(spark, staging, table_path)
+    run = new_run(dt_proc)
+    try:
+        written = write_run(typed, table_path, run)
+        spec = IntegritySpec(keys=keys, not_null=req, expected=written.rows, tolerance=0.0)
+        report = check_integrity(read_runs(spark, table_path, [run], schema), table, dt_proc, spec, quality_path)
+    except Exception:
+        drop_run(spark, table_path, run)
+        raise
+    commit(spark, f"{table}-{dt_proc}", dt_proc, [written])
     if lineage_path:
         record_lineage(
             lineage_path,

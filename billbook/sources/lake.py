@@ -6,11 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from billbook.sinks.commits import is_committed_table, read_committed
+
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """A ``ref``-partitioned table. With a schema the partition column keeps
+    """A ``ref``-partitioned table: plain Parquet folders, or one whose loads
+    are published by commit records (``sinks.commits``). With a schema the partition column keeps
     its declared (string) type; partition-type inference is off in the
     library's session defaults either way."""
+    if is_committed_table(spark, path):
+        return read_committed(spark, path, schema)
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)

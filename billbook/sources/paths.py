@@ -45,7 +45,23 @@ def list_files(spark: SparkSession, folder: str, suffix: str = "") -> list[tuple
 def rename(spark: SparkSession, src: str, dst: str) -> None:
     fs, p = _fs(spark, src)
     jvm = spark.sparkContext._jvm
-    fs.rename(p, jvm.org.apache.hadoop.fs.Path(dst))
+    if not fs.rename(p, jvm.org.apache.hadoop.fs.Path(dst)):
+        raise OSError(f"could not move {src} to {dst}")
+
+
+def make_file(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file (metadata only)."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
 
 
 def list_entries(spark: SparkSession, folder: str, suffix: str = "") -> list[tuple[str, int]]:
@@ -79,29 +95,3 @@ def glob_files(spark: SparkSession, pattern: str) -> list[str]:
     fs, p = _fs(spark, pattern)
     st = fs.globStatus(p)
     return [] if st is None else [s.getPath().toString() for s in st if s.isFile()]
-
-
-def publish(spark: SparkSession, staging: str, table: str) -> int:
-    """Move the data files of a partitioned staging folder into ``table``,
-    keeping their partition sub-folders (an append by rename: metadata
-    operations only; no data passes through the driver)."""
-    jvm = spark.sparkContext._jvm
-    fs, src = _fs(spark, staging)
-    moved = 0
-    it = fs.listFiles(src, True)
-    base = src.toString().rstrip("/")
-    while it.hasNext():
-        st = it.next()
-        path = st.getPath().toString()
-        name = st.getPath().getName()
-        if name.startswith(("_", ".")):
-            continue
-        rel = path[len(base):].lstrip("/") if path.startswith(base) else path.split(staging.rstrip("/") + "/", 1)[-1]
-        dst = jvm.org.apache.hadoop.fs.Path(f"{table.rstrip('/')}/{rel}")
-        fs.mkdirs(dst.getParent())
-        if not fs.rename(st.getPath(), dst):
-            raise OSError(f"could not move {path} to {dst}")
-        moved += 1
-    # Every data file has moved; drop the emptied staging tree (markers only).
-    fs.delete(src, True)
-    return moved

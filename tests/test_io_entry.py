@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from billbook import schemas as S
 from billbook.plans.trusted import load_trusted, trusted_invoices
-from billbook.sources import raw
+from billbook.sources import lake, raw
 from billbook.sources.bindings import raw_invoice_text, read_table
 
 
@@ -25,8 +25,11 @@ def test_load_trusted_roundtrip(spark, sf_small, tmp_path):
     rep = load_trusted(raw_invoice_text(orders), "fatura", "20020101000000", f"{root}/trusted/tb_01_fatura",
                        f"{root}/qualidade", f"{root}/controle", "tb_faturas.csv")
     assert rep["status"] == "OK" and rep["total_registros"] == orders.count()
-    back = spark.read.schema(S.INVOICES).parquet(f"{root}/trusted/tb_01_fatura")
+    back = lake.read_table(spark, f"{root}/trusted/tb_01_fatura", S.INVOICES)
     assert back.count() == orders.count()
+    load_trusted(raw_invoice_text(orders), "fatura", "20020101000000", f"{root}/trusted/tb_01_fatura")
+    back = lake.read_table(spark, f"{root}/trusted/tb_01_fatura", S.INVOICES)
+    assert back.count() == orders.count()  # the same load again replaces itself
     assert dict(back.dtypes)["ref"] == "string"
     # partition pruning on the cohort column
     plan = back.where(F.col("ref") == "199601")._jdf.queryExecution().executedPlan().toString()
@@ -102,13 +105,3 @@ def test_failed_load_leaves_table_untouched(spark, tmp_path):
     assert q.status == "FALHOU" and q.chaves_duplicadas == 1
     assert not [p for p in os.listdir(f"{root}/tb") if not p.startswith("_")]   # nothing published
     assert not os.path.exists(f"{root}/c")                                      # no lineage for a failed load
-
-
-def test_publish_moves_files_and_clears_staging(spark, tmp_path):
-    from billbook.sources.paths import publish
-
-    df = spark.createDataFrame([("202301", 1), ("202302", 2)], "ref string, v int")
-    df.write.partitionBy("ref").parquet(str(tmp_path / "stg"))
-    n = publish(spark, str(tmp_path / "stg"), str(tmp_path / "tbl"))
-    assert n >= 2 and not os.path.exists(tmp_path / "stg")
-    assert sorted(r.v for r in spark.read.parquet(str(tmp_path / "tbl")).collect()) == [1, 2]

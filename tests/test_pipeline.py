@@ -1,7 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
-from billbook.plans.book_pipeline import run_pipeline
+from billbook.plans.book_pipeline import run_book, run_pipeline
+from billbook.sinks import commits
 from billbook.sources.bindings import load_tables, raw_invoice_text, raw_payment_text
+from billbook.sources.lake import read_table
 
 
 def test_pipeline_end_to_end(spark, sf_small, tmp_path):
@@ -17,53 +20,103 @@ def test_pipeline_end_to_end(spark, sf_small, tmp_path):
 
     rep = run_pipeline(spark, root, "20020101000000")
     assert rep.invoices["status"] == "OK" and rep.payments["status"] == "OK" and rep.book["status"] == "OK"
-    book = spark.read.parquet(f"{root}/refined/book_fatura")
+    book = read_table(spark, f"{root}/refined/book_fatura")
     assert book.count() == rep.book["total_registros"] > 0
-    assert spark.read.parquet(f"{root}/refined/stage_fatura").count() == t.invoices.count()
+    assert read_table(spark, f"{root}/refined/stage_fatura").count() == t.invoices.count()
     q = spark.read.parquet(f"{root}/qualidade")
     assert sorted(r.tabela for r in q.collect()) == ["book_fatura", "tb_01_fatura", "tb_02_pagamento"]
     assert spark.read.parquet(f"{root}/controle").count() == 3
+    control = spark.read.parquet(f"{root}/controle_book").collect()
+    assert [(r.assunto, r.ref, r.ts_proc, r.qtd_registros) for r in control] == [("book_fatura", "20020101", "20020101000000", book.count())]
 
 
-def _broken_once(spark, sf_small, root, monkeypatch, call):
-    """Run the book with the ``call``-th partitioned write failing after it
-    has written, then again with the same ``dt_proc``."""
-    import pytest
+STEPS = {  # where a run can break, by the function that raises after (or instead of) its work
+    "stage written": ("billbook.sinks.commits.write_run", 1, True),
+    "book written": ("billbook.sinks.commits.write_run", 2, True),
+    "before the record has its name": ("billbook.sinks.commits.rename", 1, False),
+    "after the record": ("billbook.sinks.commits.rename", 1, True),
+}
 
-    import billbook.sinks.parquet as sink
-    from billbook.plans.book_pipeline import run_book
 
-    t = load_tables(spark, sf_small)
-    t.invoices.write.partitionBy("ref").parquet(f"{root}/trusted/tb_01_fatura")
-    t.payments.write.partitionBy("ref").parquet(f"{root}/trusted/tb_02_pagamento")
-    real, calls = sink.append_partitioned, []
+def _tables_of(spark, root):
+    stage, book = (read_table(spark, f"{root}/refined/{t}", None) for t in ("stage_fatura", "book_fatura"))
+    keys = book.groupBy("ref", "id_cliente").count().filter("count > 1").count()
+    return stage.count(), book.count(), keys
+
 
-    def write(*args, **kwargs):
-        real(*args, **kwargs)
+@pytest.mark.parametrize("step", list(STEPS))
+def test_book_rerun_after_a_break_anywhere(spark, sf_small, tmp_path, monkeypatch, step):
+    """Broken at any step and run again with its ``dt_proc``: one stage row
+    per invoice, one book row per key; until then readers see both tables as
+    they were, or both new."""
+    import importlib
+
+    root = str(tmp_path / "lake")
+    t = load_tables(spark, sf_small)
+    few = "ref between '199601' and '199603'"
+    t.invoices.where(few).write.partitionBy("ref").parquet(f"{root}/trusted/tb_01_fatura")
+    t.payments.where(few).write.partitionBy("ref").parquet(f"{root}/trusted/tb_02_pagamento")
+    run_book(spark, root, "20020101000000")
+    before = _tables_of(spark, root)
+    where, call, after = STEPS[step]
+    module, name = importlib.import_module(where.rpartition(".")[0]), where.rpartition(".")[2]
+    real, calls = getattr(module, name), []
+
+    def broken(*args, **kwargs):
         calls.append(1)
+        out = real(*args, **kwargs) if len(calls) != call or after else None
         if len(calls) == call:
             raise OSError("lost")
+        return out
 
-    monkeypatch.setattr(sink, "append_partitioned", write)
+    monkeypatch.setattr(module, name, broken)
     with pytest.raises(OSError):
-        run_book(spark, root, "20020101000000")
-    monkeypatch.setattr(sink, "append_partitioned", real)
-    report = run_book(spark, root, "20020101000000")
-    book = spark.read.parquet(f"{root}/refined/book_fatura")
-    assert report["status"] == "OK" and book.count() == report["total_registros"]
-    assert spark.read.parquet(f"{root}/refined/stage_fatura").count() == t.invoices.count()
+        run_book(spark, root, "20020201000000")
+    monkeypatch.setattr(module, name, real)
+    n = t.invoices.where(few).count()
+    seen = _tables_of(spark, root)
+    published = step == "after the record"
+    assert seen[0] == (2 * n if published else n) and seen[1] == (2 if published else 1) * before[1]
+    assert run_book(spark, root, "20020201000000")["status"] == "OK"
+    assert _tables_of(spark, root)[:2] == (2 * n, 2 * before[1])
+    newest = read_table(spark, f"{root}/refined/book_fatura").where("dt_proc = '20020201000000'")
+    assert newest.groupBy("ref", "id_cliente").count().filter("count > 1").count() == 0
 
 
-def test_book_rerun_after_a_broken_stage_write(spark, sf_small, tmp_path, monkeypatch):
-    _broken_once(spark, sf_small, str(tmp_path / "lake"), monkeypatch, 1)
+def test_book_run_twice_replaces_itself(spark, sf_small, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
 
+    def count(self):
+        raise AssertionError("rows are counted as they are written, not by a job")
 
-def test_book_rerun_after_a_broken_book_write(spark, sf_small, tmp_path, monkeypatch):
-    _broken_once(spark, sf_small, str(tmp_path / "lake"), monkeypatch, 2)
+    root = str(tmp_path / "lake")
+    t = load_tables(spark, sf_small)
+    t.invoices.write.partitionBy("ref").parquet(f"{root}/trusted/tb_01_fatura")
+    t.payments.write.partitionBy("ref").parquet(f"{root}/trusted/tb_02_pagamento")
+    first = run_book(spark, root, "20020101000000")
+    with monkeypatch.context() as m:
+        m.setattr(Classic, "count", count)
+        assert run_book(spark, root, "20020101000000") == first
+    assert _tables_of(spark, root) == (t.invoices.count(), first["total_registros"], 0)
+    assert commits.published_rows(spark, f"{root}/refined") == {"stage_fatura": t.invoices.count(), "book_fatura": first["total_registros"]}
+    # The replaced run is still there for those who read it, until it is old.
+    table = f"{root}/refined/stage_fatura"
+    assert commits.vacuum(spark, table) == [] and len(commits.vacuum(spark, table, keep_hours=-1)) == 1
+    assert _tables_of(spark, root)[0] == t.invoices.count()
+    read = read_table(spark, table).where("ref = '199601'")._jdf.queryExecution().executedPlan().toString()
+    assert "ref#" in read.split("PartitionFilters")[1].split("]")[0]
+
+
+def test_book_of_no_invoices(spark, sf_small, tmp_path):
+    root = str(tmp_path / "lake")
+    t = load_tables(spark, sf_small)
+    t.invoices.limit(0).write.parquet(f"{root}/trusted/tb_01_fatura")
+    t.payments.limit(0).write.parquet(f"{root}/trusted/tb_02_pagamento")
+    assert run_book(spark, root, "20020101000000")["total_registros"] == 0
+    assert commits.published_rows(spark, f"{root}/refined") == {"stage_fatura": 0, "book_fatura": 0}
 
 
 def test_csv_columns_are_bound_by_name(spark, tmp_path):
-    import pytest
     from pyspark.sql.types import StringType, StructField, StructType
 
     from billbook.sources.raw import read_csv
