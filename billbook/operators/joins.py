@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import datetime as _dt
+import math
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from billbook.functions import days_late, days_late_as_of, mart_status, month_label, month_start, payment_status
 from billbook.operators.dedup import dedup_latest
@@ -60,21 +64,76 @@ def stage_invoices(classified_rows: DataFrame, dt_proc: str) -> DataFrame:
     )
 
 
-def integrated_view(invoices: DataFrame, payments: DataFrame, as_of: str | _dt.date) -> DataFrame:
+#: A key with more rows on the right is dealt to several tasks; the
+#: MOST_HEAVY heaviest are (the next one has under a thousandth of all rows).
+HEAVY_ROWS, MOST_HEAVY = 1_000_000, 1000
+#: Part of the rows looked at to find such keys.
+LOOK = 0.01
+
+
+def heavy_keys(rows: DataFrame, keys: Sequence[str], looked: float = 1.0, heavy_rows: int = HEAVY_ROWS) -> list[tuple]:
+    """(key..., pieces of about ``heavy_rows`` rows) for the keys with more
+    rows than that, MOST_HEAVY at most. ``rows`` may be a sample of ``looked``
+    of all rows, or an older state of the table: which keys are named changes
+    where rows are joined, never what comes out."""
+    counts = rows.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    heavy = counts.where(F.col("n") > heavy_rows * looked).orderBy(F.desc("n"), *keys).limit(MOST_HEAVY)
+    return [(*[r[k] for k in keys], math.ceil(r["n"] / (heavy_rows * looked))) for r in heavy.collect()]
+
+
+def split_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], heavy: Sequence[tuple]) -> DataFrame:
+    """``left`` LEFT JOIN ``right`` on ``keys`` where single keys may hold a
+    large part of ``right``, which no left outer join can split by itself.
+
+    The right rows of a ``heavy`` key (``heavy_keys``; without any this is the
+    plain join) are dealt to ``pieces`` parts by a hash of the whole row, and
+    its left rows stand once in every part; other keys have one part. A heavy
+    key that does stand in ``right`` has a match, so the empty rows that parts
+    without one give go. Only the heavy keys, MOST_HEAVY at most, are broadcast.
+    Rows that equal each other in all columns stay together."""
+    if not heavy:
+        return left.join(right, list(keys), "left")
+    schema = StructType([*[right.schema[k] for k in keys], StructField("_pieces", IntegerType())])
+    named = F.broadcast(right.sparkSession.createDataFrame(list(heavy), schema))
+    # Looked up in ``right`` itself, so an outdated key is a plain one.
+    present = right.select(*keys).join(named, list(keys)).distinct()
+    marks = F.broadcast(present.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_pieces"))
+
+    def marked(df: DataFrame) -> DataFrame:
+        same = reduce(lambda a, b: a & b, [df[k] == marks[f"_h_{k}"] for k in keys])
+        return df.join(marks, same, "left").drop(*[f"_h_{k}" for k in keys])
+
+    one = F.coalesce("_pieces", F.lit(1))
+    a = marked(left).select(*left.columns, "_pieces", F.explode(F.sequence(F.lit(0), one - 1)).alias("_piece"))
+    b = marked(right).withColumn("_right_piece", F.pmod(F.xxhash64(*right.columns), one).cast("int"))
+    rest = [c for c in right.columns if c not in keys]
+    b = b.select(*[F.col(k).alias(f"_r_{k}") for k in keys], "_right_piece", *rest)
+    same = reduce(lambda x, y: x & y, [a[k] == b[f"_r_{k}"] for k in keys]) & (a["_piece"] == b["_right_piece"])
+    whole = a.join(b, same, "left").where(F.col("_pieces").isNull() | F.col("_right_piece").isNotNull())
+    return whole.select(*keys, *[c for c in left.columns if c not in keys], *rest)
+
+
+def integrated_view(
+    invoices: DataFrame, payments: DataFrame, as_of: str | _dt.date, month: str | None = None, heavy: Sequence[tuple] | None = None
+) -> DataFrame:
     """All invoice versions LEFT JOIN all payment versions (not deduplicated;
     fans out on repeated payments), with the mart status and days late as of
-    ``as_of`` (the wall clock is an argument, so results repeat)."""
+    ``as_of`` (the wall clock is an argument, so results repeat).
+
+    With ``month`` only that cohort's invoices, and only payments of their
+    keys: the semi join is planned with a runtime Bloom filter of the keys
+    where payments are large, so the others stop at their scan. Payments of a
+    hot invoice are dealt to several tasks (``heavy``, by default found in a
+    sample of the payments)."""
     f = invoices.select(
         "ref", "dt_proc", "id_fatura", "id_cliente", "data_emissao", "data_vencimento",
         "valor_fatura", "valor_pagamento_minimo",
     )
-    p = payments.select(
-        F.col("id_fatura").alias("_p_fatura"),
-        F.col("id_cliente").alias("_p_cliente"),
-        "data_pagamento",
-        F.col("valor_pagamento").alias("valor_pagamento_raw"),
-    )
-    j = f.join(p, (f["id_fatura"] == p["_p_fatura"]) & (f["id_cliente"] == p["_p_cliente"]), "left")
+    p = payments.select("id_fatura", "id_cliente", "data_pagamento", F.col("valor_pagamento").alias("valor_pagamento_raw"))
+    if month is not None:
+        f = f.where(F.col("ref") == F.lit(month.replace("-", "")[:6]))
+        p = p.join(f.select(*JOIN_KEYS), JOIN_KEYS, "left_semi")
+    j = split_left_join(f, p, JOIN_KEYS, heavy_keys(payments.sample(LOOK, seed=7), JOIN_KEYS, LOOK) if heavy is None else heavy)
     ref_month = month_start(F.col("ref"))
     return j.select(
         "ref", "dt_proc", "id_fatura", "id_cliente",

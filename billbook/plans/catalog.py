@@ -22,7 +22,10 @@ from billbook.operators import marts as M
 from billbook.operators import observability as O
 from billbook.operators.dedup import dedup_join_max_key, snapshot_latest_batch
 from billbook.operators.joins import (
+    JOIN_KEYS,
+    LOOK,
     classified,
+    heavy_keys,
     integrated_view,
     invoice_payment_join,
     latest_invoices,
@@ -80,9 +83,15 @@ def _inputs(spark, sf):
     return t.invoices, t.payments
 
 
-def _vw(spark, sf):
+#: Heavy payment keys by folder, found once: an outdated list changes no result.
+_heavy: dict[str, list[tuple]] = {}
+
+
+def _vw(spark, sf, month=None):
     t = _tables(spark, sf)
-    return integrated_view(t.invoices, t.payments, AS_OF)
+    if sf not in _heavy:
+        _heavy[sf] = heavy_keys(t.some_payments, JOIN_KEYS, LOOK)
+    return integrated_view(t.invoices, t.payments, AS_OF, month, _heavy[sf])
 
 
 def _book(spark, sf, ref_date=None):
@@ -376,11 +385,19 @@ def q_view_payments(spark, sf):
 
 
 def _mart(fn, **kw):
+    """A mart over the integrated view."""
     def run(spark, sf):
         return fn(_vw(spark, sf), **kw)
     return run
 
 
+def _month_mart(fn, **kw):
+    """A mart of one month: the view joins only that month's invoices and payments."""
+    def run(spark, sf):
+        return fn(_vw(spark, sf, kw["month"]), **kw)
+    return run
+
+
 def q_mart_kpi_shares(spark, sf):
     return M.mart_kpi_shares(M.mart_kpis(_vw(spark, sf)))
 
@@ -536,11 +553,11 @@ QUERIES: dict[str, Query] = {
     "view_integrated": _mart(lambda vw: vw),
     "latest_cohort_rows": _mart(M.latest_cohort_rows),
     "mart_kpis": _mart(M.mart_kpis),
-    "mart_kpis_month": _mart(M.mart_kpis, month=MONTH),
+    "mart_kpis_month": _month_mart(M.mart_kpis, month=MONTH),
     "mart_kpi_shares": q_mart_kpi_shares,
     "status_evolution": _mart(M.status_evolution),
     "status_distribution": _mart(M.status_distribution),
-    "status_distribution_month": _mart(M.status_distribution, month=MONTH),
+    "status_distribution_month": _month_mart(M.status_distribution, month=MONTH),
     "status_share": q_status_share,
     "churn_evolution": _mart(M.churn_evolution),
     "churn_diagnosis": _mart(M.churn_diagnosis),
@@ -555,16 +572,16 @@ QUERIES: dict[str, Query] = {
     "client_recent_6": _mart(M.client_recent, n=6),
     "client_lookup": _mart(M.client_lookup, client_id=CLIENT_ID),
     "top_risk_clients": _mart(M.top_risk_clients),
-    "top_risk_clients_month": _mart(M.top_risk_clients, month=MONTH),
+    "top_risk_clients_month": _month_mart(M.top_risk_clients, month=MONTH),
     "invoice_detail_top": _mart(M.invoice_detail_by_status),
     "invoice_detail_by_status": _mart(M.invoice_detail_by_status, status=S.STATUS_LATE),
     "invoice_detail_by_behaviour": _mart(M.invoice_detail_by_behaviour, behaviour=S.BEHAVIOUR_MIN),
     "invoice_detail_by_delay_band": _mart(M.invoice_detail_by_delay_band, band=S.DELAY_BANDS[0][1]),
-    "invoice_detail_by_delay_band_month": _mart(M.invoice_detail_by_delay_band, band=S.DELAY_BANDS[1][1], month=MONTH),
+    "invoice_detail_by_delay_band_month": _month_mart(M.invoice_detail_by_delay_band, band=S.DELAY_BANDS[1][1], month=MONTH),
     "invoice_value_bands": _mart(M.invoice_value_bands),
     "minimum_payment_behaviour": _mart(M.minimum_payment_behaviour),
     "delay_bands": _mart(M.delay_bands),
-    "delay_bands_month": _mart(M.delay_bands, month=MONTH),
+    "delay_bands_month": _month_mart(M.delay_bands, month=MONTH),
     "month_dimension": _mart(M.month_dimension),
     "client_dimension": _mart(M.client_dimension),
     # sources and sinks

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from billbook.operators.joins import LOOK
 from billbook.schemas import MONEY
 
 # ---------------------------------------------------------------------------
@@ -92,6 +93,8 @@ class Tables:
 
     invoices: DataFrame
     payments: DataFrame
+    #: A sample of the payments, taken before they are bound to their invoice.
+    some_payments: DataFrame
     as_of: str = AS_OF
 
 
@@ -99,8 +102,11 @@ def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
     lineitem = read_table(spark, sf_dir, "lineitem")
     invoices = invoices_from_orders(orders)
-    payments = payments_from_lineitem(lineitem, invoices)
-    return Tables(invoices=invoices, payments=payments)
+    return Tables(
+        invoices=invoices,
+        payments=payments_from_lineitem(lineitem, invoices),
+        some_payments=payments_from_lineitem(lineitem.sample(LOOK, seed=7), invoices),
+    )
 
 
 def raw_invoice_text(orders: DataFrame) -> DataFrame:

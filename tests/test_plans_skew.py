@@ -120,3 +120,74 @@ def test_per_key_max_is_joined_back(spark, sf_small):
     """Rows of a hot key that tie at its maximum must not meet in one window."""
     p = _static_plan(spark, QUERIES["dedup_join_max_key"](spark, sf_small))
     assert "Window" not in p and "LeftSemi" in p and "partial_max" in p
+
+
+def _hot_payments(spark, n=6000):
+    """Invoice 1 holds a third of all payments; every seventh has none."""
+    invoices = spark.createDataFrame(
+        [("202301", v, i, i % 50, dt.date(2023, 1, 5), dt.date(2023, 2, 5), Decimal("100.00"), Decimal("0.00"))
+         for i in range(700) for v in (("a", "b") if i in (1, 3) else ("a",))] + [("202301", "a", None, 1, None, None, None, None)],
+        "ref string, dt_proc string, id_fatura long, id_cliente long, data_emissao date, data_vencimento date, "
+        "valor_fatura decimal(15,2), valor_pagamento_minimo decimal(15,2)")
+    keys = [1 if k < n // 3 else 2 + k % 690 for k in range(n)]
+    payments = spark.createDataFrame(
+        [("202302", "a", k % 50 if k != 9 else 77, k, j, dt.date(2023, 2, 1 + j % 20), Decimal(j)) for j, k in enumerate(keys) if k == 1 or k % 7]
+        + [("202302", "a", None, 1, -1, None, None)],
+        "ref string, dt_proc string, id_cliente long, id_fatura long, id_pagamento long, data_pagamento date, valor_pagamento decimal(15,2)")
+    return invoices, payments.repartition(6)
+
+
+def test_a_hot_invoice_is_dealt_to_several_tasks(spark):
+    from billbook.operators.joins import JOIN_KEYS, heavy_keys, split_left_join
+
+    invoices, payments = _hot_payments(spark)
+    right = payments.drop("ref", "dt_proc")
+    heavy = heavy_keys(payments, JOIN_KEYS, heavy_rows=300)
+    assert heavy == [(1, 1, 7)]
+    got = split_left_join(invoices, right, JOIN_KEYS, [*heavy, (999, 9, 5), (7, 7, 3)])  # one absent, one without payments
+    plain = invoices.join(right, JOIN_KEYS, "left")
+    assert got.columns == plain.columns and sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def largest(df):
+            return max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+        assert largest(got) < 0.6 * largest(plain)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_view_is_the_same_however_payments_are_dealt(spark):
+    from billbook.operators.joins import integrated_view
+
+    invoices, payments = _hot_payments(spark)
+    views = [integrated_view(invoices, payments, "2023-12-31", heavy=h) for h in ([], [(1, 1, 7), (3, 3, 2)], None)]
+    rows = [sorted(map(str, v.collect())) for v in views]
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) > 7000
+    month = integrated_view(invoices, payments, "2023-12-31", month="2023-01", heavy=[(1, 1, 7)])
+    assert sorted(map(str, month.collect())) == rows[0]
+
+
+def test_month_filter_reaches_the_payment_scan(spark, tmp_path):
+    """The keys of the month's invoices become a Bloom filter on the payments."""
+    from billbook.operators.joins import integrated_view
+    from billbook.operators.marts import mart_kpis
+    from billbook.schemas import INVOICES, PAYMENTS
+
+    invoices, payments = _hot_payments(spark)
+    invoices.write.partitionBy("ref").parquet(str(tmp_path / "i"))
+    payments.write.partitionBy("ref").parquet(str(tmp_path / "p"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        view = integrated_view(spark.read.schema(INVOICES).parquet(str(tmp_path / "i")), spark.read.schema(PAYMENTS).parquet(str(tmp_path / "p")),
+                               "2023-12-31", month="202301", heavy=[])
+        plan = _static_plan(spark, mart_kpis(view, month="202301"))
+    finally:
+        for k, v in {**conf, "spark.sql.autoBroadcastJoinThreshold": str(10 << 20), "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "10GB"}.items():
+            spark.conf.set(k, v)
+    scan = [line for line in plan.splitlines() if "might_contain" in line]
+    assert scan and "id_fatura" in scan[0]
