@@ -22,6 +22,7 @@ Plan (chosen for skew and width, see README):
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import product
 
@@ -109,8 +110,25 @@ def window_flags_truncated(df: DataFrame, run_date, date_col: str = "data_emissa
     return df.select(*df.columns, *flags)
 
 
+def _rows(stage: DataFrame) -> DataFrame:
+    """The stage dealt out by client, each row as the partial of one: all that
+    follows (anchor, flags, classes, pivot) is grouped by client and more, so
+    this is the book's only shuffle."""
+    v, d = F.col(VALUE_COL), F.col(DAYS_COL)
+    return stage.repartition("id_cliente").select(
+        "ref", "id_cliente", CLASS_COL, "data_emissao",
+        F.col(COUNT_COL).cast("long").alias("n"),
+        v.cast("decimal(25,2)").alias("v_sum"), F.when(v.isNotNull(), 1).otherwise(0).cast("long").alias("v_cnt"),
+        v.alias("v_min"), v.alias("v_max"),
+        d.cast("long").alias("d_sum"), F.when(d.isNotNull(), 1).otherwise(0).cast("long").alias("d_cnt"),
+        d.alias("d_min"), d.alias("d_max"),
+    )
+
+
 def _partials(stage: DataFrame) -> DataFrame:
-    """Phase 1: one row per (ref, client, class, emission date)."""
+    """For heavy clients: one row per (ref, client, class, emission date),
+    combined before the shuffle. Their number is bounded by classes x dates,
+    whatever rows a client has."""
     v, d = F.col(VALUE_COL), F.col(DAYS_COL)
     return stage.groupBy("ref", "id_cliente", CLASS_COL, "data_emissao").agg(
         F.sum(COUNT_COL).alias("n"),
@@ -125,10 +143,23 @@ def _partials(stage: DataFrame) -> DataFrame:
     )
 
 
-def book_long(stage: DataFrame, anchor=None) -> DataFrame:
+#: A client with more rows than this is combined before it is dealt out.
+HEAVY_CLIENT_ROWS, MOST_HEAVY = 1_000_000, 1000
+
+
+def heavy_clients(rows: DataFrame, looked: float = 1.0, heavy_rows: int = HEAVY_CLIENT_ROWS) -> list[int | None]:
+    """The clients (or none: NULL) with over ``heavy_rows`` rows, from a sample
+    of ``looked`` of them; the MOST_HEAVY heaviest at most (the next has under a
+    thousandth of all rows). Which clients are named changes the plan, not the
+    book."""
+    counts = rows.groupBy("id_cliente").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > heavy_rows * looked)
+    return [r["id_cliente"] for r in counts.orderBy(F.desc("n"), "id_cliente").limit(MOST_HEAVY).collect()]
+
+
+def book_long(stage: DataFrame, anchor=None, combine: bool = False) -> DataFrame:
     """Book in long form: one row per (ref, client, class) with 8 metrics x 5
-    windows (``{metric}__{window}`` columns)."""
-    p = _partials(stage)
+    windows (``{metric}__{window}`` columns). ``combine``: for heavy clients."""
+    p = _partials(stage) if combine else _rows(stage)
     a = _anchor_col(anchor)
     if a is None:
         # One window aggregate, referenced by all four flags.
@@ -186,14 +217,27 @@ _LONG_NAME = {
 }
 
 
-def book_by_cohort(stage: DataFrame, dt_proc: str, anchor=None, specs: list[MetricSpec] | None = None) -> DataFrame:
+def book_by_cohort(stage: DataFrame, dt_proc: str, anchor=None, specs: list[MetricSpec] | None = None,
+                   heavy: Sequence[int | None] = ()) -> DataFrame:
     """The 200-metric book, one row per (ref, client), keys first.
 
     A client whose rows all have a NULL class still gets a row (sums 0,
-    others NULL). Only SUM metrics are COALESCEd to 0.
+    others NULL). Only SUM metrics are COALESCEd to 0. The clients in ``heavy``
+    (``heavy_clients``) are read on their own and combined before they are
+    dealt out, so that none of them is one task's work.
     """
+    if heavy:
+        known = [c for c in heavy if c is not None]
+        hot = F.coalesce(F.col("id_cliente").isin(known), F.lit(None in heavy))
+        parts = [book_by_class(stage.where(rows), dt_proc, anchor, specs, combine) for rows, combine in ((~hot, False), (hot, True))]
+        return parts[0].unionAll(parts[1])
+    return book_by_class(stage, dt_proc, anchor, specs, False)
+
+
+def book_by_class(stage: DataFrame, dt_proc: str, anchor, specs: list[MetricSpec] | None, combine: bool) -> DataFrame:
+    """The long form pivoted to one row per (ref, client)."""
     specs = specs or metric_specs()
-    long = book_long(stage, anchor)
+    long = book_long(stage, anchor, combine)
     # Pivot: each (ref, client) has at most one long row per class (five),
     # so its rows are gathered into a class -> metrics map (a collect bounded
     # by the number of classes; NULL-class rows add nothing) and the 200

@@ -139,35 +139,37 @@ def status_share(dist: DataFrame) -> DataFrame:
 def churn_evolution(vw: DataFrame) -> DataFrame:
     """Distinct clients per (month, retention category).
 
-    One pre-aggregate per (month, client), combined map-side, tells which
-    categories the client shows in that month; a second aggregate per month
-    sums them. Clients of the base with no row in a month count as inactive:
-    ``base - present(month)``, the base being a scalar subquery. No client x
-    month grid is built. The months come from all rows, also those without a
-    client; the joined table has one row per month.
+    The view is read once: one aggregate, combined map-side, gives a row per
+    (month, client) with the categories the client shows in that month, and a
+    row per client for the base. A second one sums them per month. Clients of
+    the base with no row in a month count as inactive: ``base -
+    present(month)``. No client x month grid is built. The months come from
+    all rows, also those without a client.
     """
-    base = vw.agg(F.count_distinct("id_cliente")).scalar()
     cat = retention_category("status", "id_fatura")
 
     def shows(label):
         return F.max(F.when(cat == F.lit(label), F.lit(1)).otherwise(F.lit(0)))
 
-    per_client = vw.where(F.col("id_cliente").isNotNull()).groupBy("data_referencia", "id_cliente").agg(
+    per_client = vw.groupingSets(
+        [["data_referencia", "id_cliente"], ["id_cliente"]], "data_referencia", "id_cliente"
+    ).agg(
+        F.grouping("data_referencia").alias("_base"),
         shows(S.RET_ON_TIME).alias("_on_time"), shows(S.RET_LATE).alias("_late"), shows(S.RET_INACTIVE).alias("_inactive"),
     )
-    per_month = per_client.groupBy("data_referencia").agg(
-        F.sum("_on_time").alias(S.RET_ON_TIME),
-        F.sum("_late").alias(S.RET_LATE),
-        (F.sum("_inactive") - F.count(F.lit(1))).alias(S.RET_INACTIVE),
+    known = F.col("id_cliente").isNotNull()
+    per_month = per_client.groupBy("_base", "data_referencia").agg(
+        F.count("id_cliente").alias("_present"),
+        *[F.sum(F.when(known, F.col(f"_{c}")).otherwise(0)).alias(f"_{c}") for c in ("on_time", "late", "inactive")],
     )
-    months = vw.select("data_referencia").distinct()
-    every = months.join(per_month, "data_referencia", "left").fillna(0, [S.RET_ON_TIME, S.RET_LATE, S.RET_INACTIVE])
-    every = every.withColumn(S.RET_INACTIVE, F.col(f"`{S.RET_INACTIVE}`") + base)
+    # A row per month and one for the base: the base is taken from it by a window over these few.
+    base = F.max(F.when(F.col("_base") == 1, F.col("_present"))).over(Window.partitionBy())
+    every = per_month.withColumn("_inactive", F.col("_inactive") + base - F.col("_present")).where(F.col("_base") == 0)
     stacked = every.select(
         "data_referencia",
         F.inline(F.array(*[
-            F.struct(F.lit(c).alias("categoria_retencao"), F.col(f"`{c}`").cast("bigint").alias("qtd_clientes"))
-            for c in (S.RET_ON_TIME, S.RET_LATE, S.RET_INACTIVE)
+            F.struct(F.lit(label).alias("categoria_retencao"), F.col(c).cast("bigint").alias("qtd_clientes"))
+            for label, c in ((S.RET_ON_TIME, "_on_time"), (S.RET_LATE, "_late"), (S.RET_INACTIVE, "_inactive"))
         ])),
     ).where(F.col("qtd_clientes") > 0)
     return stacked.select(

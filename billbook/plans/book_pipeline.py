@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from billbook.operators.book import book_by_cohort
-from billbook.operators.joins import classified, invoice_payment_join, latest_invoices, latest_payments, stage_invoices
+from billbook.operators.book import book_by_cohort, heavy_clients
+from billbook.operators.joins import LOOK, classified, invoice_payment_join, latest_invoices, latest_payments, stage_invoices
 
 
 def invoices_for_cohort(invoices: DataFrame, ref_date: str) -> DataFrame:
@@ -33,20 +34,22 @@ class BookResult:
     stage: DataFrame
     dt_proc: str
     ref_date: str | None = None
+    heavy: Sequence[int | None] = ()
 
     @property
     def book(self) -> DataFrame:
         """Built on first use, so callers that need only the stage do not
         pay for constructing the 200-column plan."""
-        return book_by_cohort(self.stage, self.dt_proc, anchor=self.ref_date)
+        return book_by_cohort(self.stage, self.dt_proc, anchor=self.ref_date, heavy=self.heavy)
 
 
 def build_book(invoices: DataFrame, payments: DataFrame, dt_proc: str, ref_date: str | None = None,
-               seen: Observation | None = None) -> BookResult:
+               seen: Observation | None = None, heavy: Sequence[int | None] = ()) -> BookResult:
     """The book plan. With ``ref_date`` the invoices are cut to that cohort,
     unpaid delay is measured to ``ref_date`` and windows are anchored on it;
     without it each client's newest emission date anchors its windows.
-    ``seen`` counts the deduplicated invoices as they pass (``invoices``)."""
+    ``seen`` counts the deduplicated invoices as they pass (``invoices``);
+    ``heavy`` clients are combined before they are dealt out."""
     inv = invoices if ref_date is None else invoices_for_cohort(invoices, ref_date)
     pay = payments
     if ref_date is not None:
@@ -60,7 +63,7 @@ def build_book(invoices: DataFrame, payments: DataFrame, dt_proc: str, ref_date:
         newest = newest.observe(seen, F.count(F.lit(1)).alias("invoices"))
     joined = invoice_payment_join(newest, latest_payments(pay))
     stage = stage_invoices(classified(joined, ref_date), dt_proc)
-    return BookResult(stage=stage, dt_proc=dt_proc, ref_date=ref_date)
+    return BookResult(stage=stage, dt_proc=dt_proc, ref_date=ref_date, heavy=heavy)
 
 
 @dataclass
@@ -127,7 +130,8 @@ def run_book(spark, lake_root: str, dt_proc: str, ref_date: str | None = None) -
 
 
 def build_book_from_stage(stage: DataFrame, dt_proc: str, ref_date: str | None = None) -> DataFrame:
-    return book_by_cohort(stage, dt_proc, anchor=ref_date)
+    """The book of a written stage; heavy clients are found in a sample of it."""
+    return book_by_cohort(stage, dt_proc, anchor=ref_date, heavy=heavy_clients(stage.select("id_cliente").sample(LOOK, seed=7), LOOK))
 
 
 def run_pipeline(spark, lake_root: str, dt_proc: str, ref_date: str | None = None) -> PipelineReport:

@@ -31,7 +31,7 @@ from billbook.operators.joins import (
     latest_invoices,
     latest_payments,
 )
-from billbook.plans.book_pipeline import build_book, invoices_for_cohort, lookback
+from billbook.plans.book_pipeline import build_book, invoices_for_cohort, lookback, run_book
 from billbook.plans.output import decimals_to_double, to_output
 from billbook.plans.trusted import (
     PAYMENT_REQUIRED,
@@ -42,7 +42,7 @@ from billbook.plans.trusted import (
     trusted_payments,
     trusted_payments_daily,
 )
-from billbook.sinks.commits import new_run, write_run
+from billbook.sinks.commits import commit, new_run, write_run
 from billbook.sinks.csv import export_csv
 from billbook.sinks.parquet import append_partitioned
 from billbook.sources import lake, raw
@@ -94,8 +94,15 @@ def _vw(spark, sf, month=None):
     return integrated_view(t.invoices, t.payments, AS_OF, month, _heavy[sf])
 
 
+#: Heavy clients by folder, found once: an outdated list changes no result.
+_hot_clients: dict[str, list] = {}
+
+
 def _book(spark, sf, ref_date=None):
-    return build_book(*_inputs(spark, sf), DT_PROC, ref_date).book
+    invoices, payments = _inputs(spark, sf)
+    if sf not in _hot_clients:
+        _hot_clients[sf] = B.heavy_clients(invoices.select("id_cliente").sample(LOOK, seed=7), LOOK)
+    return build_book(invoices, payments, DT_PROC, ref_date, heavy=_hot_clients[sf]).book
 
 
 def _out(fn):
@@ -425,12 +432,13 @@ def q_scan_csv_raw(spark, sf):
 
 
 def q_scan_csv_folder(spark, sf):
+    """One folder, files of two loads whose columns stand in different orders."""
     folder = scratch_dir(spark, "raw_folder")
     r = raw_invoice_text(_orders(spark, sf))
     early = F.col("dt_emissao_fatura") < F.lit("1998-01-01")
-    r.where(early).write.option("header", True).csv(f"{folder}/tb_faturas_a")
-    r.where(~early).write.option("header", True).csv(f"{folder}/tb_faturas_b")
-    return raw.read_csv(spark, [f"{folder}/tb_faturas_a", f"{folder}/tb_faturas_b"], S.RAW_INVOICE)
+    r.where(early).write.option("header", True).csv(folder)
+    r.where(~early).select(*reversed(r.columns), F.lit("x").alias("extra")).write.mode("append").option("header", True).csv(folder)
+    return raw.read_csv(spark, folder, S.RAW_INVOICE)
 
 
 def q_latest_file_batch(spark, sf):
@@ -449,8 +457,8 @@ def q_filename_metadata(spark, sf):
     folder = scratch_dir(spark, "named")
     r = raw_invoice_text(_orders(spark, sf)).withColumn("_ref", F.substring(F.replace("dt_emissao_fatura", F.lit("-"), F.lit("")), 1, 6))
     raw.write_named_batches(r, folder, "fatura_raw", "_ref", FILE_STAMP)
-    df = raw.read_csv(spark, folder + "/*.csv", S.RAW_INVOICE)
-    return raw.with_file_metadata(df).drop("filename")
+    df = raw.read_csv(spark, folder + "/*.csv", S.RAW_INVOICE, with_metadata=True)
+    return raw.with_file_metadata(df)
 
 
 def q_scan_parquet_partitioned(spark, sf):
@@ -460,12 +468,15 @@ def q_scan_parquet_partitioned(spark, sf):
 
 
 def q_scan_parquet_merge_schema(spark, sf):
-    path = scratch_dir(spark, "tb_01_fatura_versions")
+    """Two loads: the first without the minimum payment and with a narrower value."""
+    table = scratch_dir(spark, "versions") + "/tb_01_fatura"
     inv = _tables(spark, sf).invoices
     old = F.col("ref") < F.lit("199801")
-    append_partitioned(inv.where(old).drop("valor_pagamento_minimo"), path, ["ref"])
-    append_partitioned(inv.where(~old), path, ["ref"])
-    return lake.read_merged(spark, path, with_file=False).select(*S.INVOICES.fieldNames())
+    narrow = inv.where(old).drop("valor_pagamento_minimo").withColumn("valor_fatura", F.col("valor_fatura").cast("decimal(11,2)"))
+    for run, rows in (("v1", narrow), ("v2", inv.where(~old))):
+        commit(spark, run, DT_PROC, [write_run(rows, table, run)])
+    folder = F.regexp_extract("filename", "^(.*)/[^/]*$", 1)  # a file's own name is random
+    return lake.read_merged(spark, table).select(*S.INVOICES.fieldNames(), folder.alias("filename"))
 
 
 def q_audit_latest_runs(spark, sf):
@@ -475,6 +486,21 @@ def q_audit_latest_runs(spark, sf):
     return lake.latest_runs(spark.read.schema(S.QUALITY).parquet(f"{lake_root}/qualidade"))
 
 
+def q_audit_history(spark, sf):
+    """Two loads of invoices and payments and the book of the second."""
+    root = scratch_dir(spark, "audited")
+    invoices, payments = raw_invoice_text(_orders(spark, sf)), raw_payment_text(_tables(spark, sf).payments)
+    first = F.col("dt_emissao_fatura") < F.lit("1998-01-01")
+    paid_first = F.col("dt_pagamento") < F.lit("1998-01-01")
+    for dt_proc, inv, pay in ((DT_PROC, invoices.where(first), payments.where(paid_first)),
+                              (TS_PROC, invoices.where(~first), payments.where(~paid_first))):
+        load_trusted(inv, "fatura", dt_proc, f"{root}/trusted/tb_01_fatura", f"{root}/qualidade", f"{root}/controle", "a.csv")
+        load_trusted(pay.dropDuplicates(["id_pagamento"]), "pagamento", dt_proc, f"{root}/trusted/tb_02_pagamento",
+                     f"{root}/qualidade", f"{root}/controle", "b.csv")
+    run_book(spark, root, TS_PROC)
+    return lake.audit_history(spark, root)
+
+
 def q_sink_partitioned_roundtrip(spark, sf):
     path = scratch_dir(spark, "stage_fatura")
     append_partitioned(_stage(spark, sf), path, ["ref"])
@@ -592,6 +618,7 @@ QUERIES: dict[str, Query] = {
     "scan_parquet_partitioned": q_scan_parquet_partitioned,
     "scan_parquet_merge_schema": q_scan_parquet_merge_schema,
     "audit_latest_runs": q_audit_latest_runs,
+    "audit_history": q_audit_history,
     "sink_partitioned_roundtrip": q_sink_partitioned_roundtrip,
     "sink_two_level_partition_roundtrip": q_sink_two_level_partition_roundtrip,
     "export_csv_semicolon": q_export_csv_semicolon,

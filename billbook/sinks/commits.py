@@ -28,7 +28,7 @@ from pyspark.sql.types import StructType
 from billbook.sources.paths import exists, list_entries, list_files, make_file, remove, rename
 
 RUNS, COMMITS = "_runs", "_commits"
-RECORD = "key string, version bigint, dt_proc string, tables map<string, struct<run:string, rows:bigint>>"
+RECORD = "key string, version bigint, dt_proc string, tables map<string, struct<run:string, rows:bigint, columns:string>>"
 
 
 @dataclass(frozen=True)
@@ -37,6 +37,9 @@ class Run:
     table: str
     run: str
     rows: int
+    #: The written columns and types, as JSON: the record keeps them, so that
+    #: readers need no file's footer to know what a load holds.
+    columns: str
 
 
 def _split(table: str) -> tuple[str, str]:
@@ -60,7 +63,7 @@ def write_run(df: DataFrame, table: str, run: str, partition_cols: Sequence[str]
     seen = Observation(f"rows_{uuid.uuid4().hex[:12]}")
     out = df.hint("rebalance", *partition_cols).observe(seen, F.count(F.lit(1)).alias("n"))
     out.write.mode("errorifexists").partitionBy(*partition_cols).parquet(run_path(table, run))
-    return Run(table.rstrip("/"), run, int(seen.get.get("n") or 0))
+    return Run(table.rstrip("/"), run, int(seen.get.get("n") or 0), df.schema.json())
 
 
 def read_runs(spark: SparkSession, table: str, runs: Sequence[str], schema: StructType | None = None) -> DataFrame:
@@ -92,7 +95,7 @@ def commit(spark: SparkSession, key: str, dt_proc: str, runs: Sequence[Run]) ->
     taken = [int(p.rsplit(".", 2)[1]) for p, _ in list_files(spark, folder, ".json") if p.rsplit("/", 1)[-1].startswith(f"{key}.")]
     version = max(taken, default=0) + 1
     record = {"key": key, "version": version, "dt_proc": dt_proc,
-              "tables": {_split(r.table)[1]: {"run": r.run, "rows": r.rows} for r in runs}}
+              "tables": {_split(r.table)[1]: {"run": r.run, "rows": r.rows, "columns": r.columns} for r in runs}}
     # Complete before it has a name that readers know.
     draft = f"{folder}/.{key}-{uuid.uuid4().hex[:12]}"
     make_file(spark, draft, json.dumps(record) + "\n")
@@ -120,6 +123,13 @@ def read_committed(spark: SparkSession, table: str, schema: StructType | None =
     return read_runs(spark, table, runs, schema)
 
 
+def schema_history(spark: SparkSession, table: str) -> list[tuple[str, StructType]]:
+    """(run, its columns) of the published loads of ``table``."""
+    layer, name = _split(table)
+    found = [r["tables"][name] for r in records(spark, layer) if name in r["tables"]]
+    return [(t["run"], StructType.fromJson(json.loads(t["columns"]))) for t in found]
+
+
 def published_rows(spark: SparkSession, layer: str) -> Mapping[str, int]:
     """Rows of each table of a layer, from the records alone."""
     out: dict[str, int] = {}

@@ -59,6 +59,17 @@ def make_file(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a UTF-8 text file, without a byte-order mark."""
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        return (reader.readLine() or "").removeprefix("\ufeff")
+    finally:
+        reader.close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

@@ -2,28 +2,62 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-from billbook.sources.paths import exists, list_files
-
-
-def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType, sep: str = ",") -> DataFrame:
-    """Header CSV with the columns of ``schema`` taken by header name, in any
-    order; further columns are left out and a missing one is an error. Each
-    path has a header of its own; a file of a folder whose header differs from
-    the folder's first one fails instead of being read by position."""
+from pyspark.sql.types import StringType, StructField, StructType
+
+from billbook.sources.paths import exists, first_line, list_files
+
+FILE = StructType([StructField("file_path", StringType()), StructField("file_name", StringType())])
+
+
+def headers(spark: SparkSession, paths: Sequence[str], sep: str) -> dict[tuple[str, ...], list[str]]:
+    """The files under ``paths`` by their header line. One line of each file is
+    read, several files at a time; an empty file has none and is left out."""
+    def header(file: str) -> tuple[str, ...]:
+        if file.rsplit(".", 1)[-1].lower() in ("gz", "bz2", "zst", "lz4", "snappy", "deflate"):
+            return tuple(spark.read.option("header", True).option("sep", sep).csv(file).columns)
+        line = first_line(spark, file)
+        return tuple(next(csv.reader([line], delimiter=sep))) if line else ()
+
+    files = sorted(spark.read.text(list(paths)).inputFiles())
+    found: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for file, names in zip(files, pool.map(header, files)):
+            found.setdefault(names, []).append(file)
+    found.pop((), None)
+    return found
+
+
+def read_csv(
+    spark: SparkSession, path: str | Sequence[str], schema: StructType, sep: str = ",", with_metadata: bool = False
+) -> DataFrame:
+    """Header CSV files, folders or patterns as one relation, with the columns
+    of ``schema`` taken by header name. Every file has its own header: columns
+    may stand in any order, further ones are left out and a missing one is an
+    error. Files with one header are one scan. ``with_metadata`` adds each
+    row's ``_metadata`` (``file_path``, ``file_name``)."""
     frames = []
-    for one in [path] if isinstance(path, str) else path:
-        text = spark.read.option("header", True).option("sep", sep).option("enforceSchema", False).csv(one)
-        missing = [c for c in schema.fieldNames() if c not in text.columns]
+    for names, files in sorted(headers(spark, [path] if isinstance(path, str) else list(path), sep).items()):
+        missing = [c for c in schema.fieldNames() if c not in names]
         if missing:
-            raise ValueError(f"{one}: missing columns {missing}")
-        frames.append(text.select(*[text[f"`{f.name}`"].cast(f.dataType).alias(f.name) for f in schema.fields]))
+            raise ValueError(f"{files[0]}: missing columns {missing}")
+        # By place in this header; a name that stands twice is its first column.
+        place = [names.index(c) for c in schema.fieldNames()]
+        raw = StructType([StructField(f"_c{i}", StringType()) for i in range(len(names))])
+        text = spark.read.option("header", True).option("sep", sep).schema(raw).csv(files)
+        columns = [F.col(f"_c{i}").cast(f.dataType).alias(f.name) for i, f in zip(place, schema.fields)]
+        if with_metadata:
+            columns.append(F.struct("_metadata.file_path", "_metadata.file_name").alias("_metadata"))
+        frames.append(text.select(*columns))
+    if not frames:
+        empty = StructType([*schema.fields, *([StructField("_metadata", FILE)] if with_metadata else [])])
+        return spark.createDataFrame([], empty)
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -54,11 +88,13 @@ def latest_file(spark: SparkSession, folders: Sequence[str], suffix: str = ".csv
 def with_file_metadata(df: DataFrame, ref_part: int = 2, stamp_part: int = 3) -> DataFrame:
     """Add ``filename`` (base name of the source file), ``ref`` and
     ``ts_file_generation`` taken from the ``_``-separated parts of the name
-    (0-based ``ref_part``/``stamp_part``; NULL when the name is shorter)."""
+    (0-based ``ref_part``/``stamp_part``; NULL when the name is shorter). Takes
+    the ``_metadata`` of ``read_csv(..., with_metadata=True)`` or of a scan."""
     name = F.col("_metadata.file_name")
     parts = F.split(name, "_")
     stamp = F.regexp_replace(F.get(parts, stamp_part), r"\.csv$", "")
-    return df.select("*", name.alias("filename"), F.get(parts, ref_part).alias("ref"), stamp.alias("ts_file_generation"))
+    kept = [c for c in df.columns if c != "_metadata"]
+    return df.select(*kept, name.alias("filename"), F.get(parts, ref_part).alias("ref"), stamp.alias("ts_file_generation"))
 
 
 def latest_entry(spark: SparkSession, folders: Sequence[str], suffix: str = ".csv") -> str:
@@ -74,19 +110,21 @@ def latest_entry(spark: SparkSession, folders: Sequence[str], suffix: str = ".cs
 
 
 def write_named_batches(df: DataFrame, folder: str, prefix: str, ref_col: str, stamp: str) -> list[str]:
-    """Write ``df`` as CSV files named ``{prefix}_{ref}_{stamp}_{n}.csv``,
-    one set per ``ref`` value, all in ``folder`` (the naming contract of the
-    prototype loads). The data is written by executors; only the file
+    """Write ``df`` as CSV files named ``{prefix}_{ref}_{stamp}.csv``, further
+    files of one ``ref`` ``{prefix}_{ref}_{stamp}_{n}.csv``, all in ``folder``
+    (the naming contract of the prototype loads). The data is written by executors; only the file
     renames run on the driver (metadata operations)."""
     from billbook.sources.paths import glob_files, rename
 
     spark = df.sparkSession
     staging = folder.rstrip("/") + "/_staging"
     df.hint("rebalance", ref_col).write.partitionBy(ref_col).option("header", True).csv(staging)
-    out = []
-    for i, path in enumerate(sorted(glob_files(spark, f"{staging}/{ref_col}=*/part-*"))):
+    out: list[str] = []
+    written: dict[str, int] = {}
+    for path in sorted(glob_files(spark, f"{staging}/{ref_col}=*/part-*")):
         ref = path.split(f"{ref_col}=")[1].split("/")[0]
-        dst = f"{folder.rstrip('/')}/{prefix}_{ref}_{stamp}_{i}.csv"
+        n = written[ref] = written.get(ref, -1) + 1
+        dst = f"{folder.rstrip('/')}/{prefix}_{ref}_{stamp}{f'_{n}' if n else ''}.csv"
         rename(spark, path, dst)
         out.append(dst)
     return out

@@ -11,7 +11,7 @@ from billbook.plans.catalog import QUERIES
 
 ROUND_TRIPS = {
     "scan_csv_raw", "scan_csv_folder", "latest_file_batch", "filename_metadata", "scan_parquet_partitioned",
-    "scan_parquet_merge_schema", "audit_latest_runs", "sink_partitioned_roundtrip",
+    "scan_parquet_merge_schema", "audit_latest_runs", "audit_history", "control_row_book", "sink_partitioned_roundtrip",
     "sink_two_level_partition_roundtrip", "export_csv_semicolon",
 }
 
@@ -43,12 +43,17 @@ def test_dedup_limits_before_the_shuffle(spark, sf_small):
     assert exchange < partial          # printed top-down: the partial limit sits below the exchange
 
 
-def test_book_window_runs_over_partials(spark, sf_small):
-    p = _static_plan(spark, QUERIES["book_by_cohort"](spark, sf_small))
-    window = p.index("Window [max(data_emissao")
+def test_book_shuffles_its_stage_once(spark, sf_small):
+    """One exchange by client above the stage; for heavy clients the anchor
+    window runs over rows combined before the shuffle."""
+    stage = _skewed_stage(spark)
+    p = _static_plan(spark, B.book_by_cohort(stage, "x"))
+    assert p.count("Exchange") == p.count("Exchange hashpartitioning(id_cliente") == 1
+    assert "SortAggregate" not in p
+    p = _static_plan(spark, B.book_by_cohort(stage, "x", heavy=[1]))
+    window = p.rindex("Window [max(data_emissao")
     partial_agg = re.search(r"HashAggregate\(keys=\[ref#\d+, id_cliente#\d+L, fbc_classificacao_pagamento#\d+, data_emissao", p)
     assert partial_agg and partial_agg.start() > window
-    assert "SortAggregate" not in p
 
 
 def test_risk_ranking_is_hash_aggregated_top_k(spark, sf_small):
@@ -102,18 +107,20 @@ def _brute_force_book(stage):
 
 def test_book_matches_brute_force_on_a_hot_client(spark):
     stage = _skewed_stage(spark)
-    fast = B.book_by_cohort(stage, "x").drop("dt_proc")
+    assert B.heavy_clients(stage, heavy_rows=2000) == [1]
     slow = _brute_force_book(stage)
-    names = [c for c in fast.columns]
-    a = sorted(tuple(r) for r in fast.select(*names).collect())
-    b = sorted(tuple(r) for r in slow.select(*names).collect())
-    assert len(a) == len(b) > 0
-    for x, y in zip(a, b):
-        for u, v in zip(x, y):
-            if isinstance(u, float) or isinstance(v, float):
-                assert (u is None and v is None) or abs(u - v) < 1e-9
-            else:
-                assert u == v
+    for heavy in ([], [1], [1, 5, None, 99999]):
+        fast = B.book_by_cohort(stage, "x", heavy=heavy).drop("dt_proc")
+        names = [c for c in fast.columns]
+        a = sorted(tuple(r) for r in fast.select(*names).collect())
+        b = sorted(tuple(r) for r in slow.select(*names).collect())
+        assert len(a) == len(b) > 0
+        for x, y in zip(a, b):
+            for u, v in zip(x, y):
+                if isinstance(u, float) or isinstance(v, float):
+                    assert (u is None and v is None) or abs(u - v) < 1e-9
+                else:
+                    assert u == v
 
 
 def test_per_key_max_is_joined_back(spark, sf_small):
