@@ -42,6 +42,7 @@ from billbook.plans.trusted import (
     trusted_payments,
     trusted_payments_daily,
 )
+from billbook.sinks.clustered import read_clustered, write_clustered
 from billbook.sinks.commits import commit, new_run, write_run
 from billbook.sinks.csv import export_csv
 from billbook.sinks.parquet import append_partitioned
@@ -181,6 +182,18 @@ def q_stage_invoices(spark, sf):
     return _stage(spark, sf)
 
 
+def q_stage_invoices_clustered(spark, sf):
+    """The stage from invoices and payments clustered by (client, invoice):
+    no exchange between their scans and the result."""
+    root = scratch_dir(spark, "clustered")
+    t = _tables(spark, sf)
+    found = []
+    for name, rows in (("tb_01_fatura", t.invoices), ("tb_02_pagamento", t.payments)):
+        write_clustered(rows, f"{root}/{name}", S.INVOICE_KEYS, DT_PROC, buckets=8)
+        found.append(read_clustered(spark, f"{root}/{name}", S.INVOICE_KEYS, buckets=8))
+    return build_book(*found, DT_PROC).stage
+
+
 def q_window_flags_client_anchor(spark, sf):
     return B.window_flags(_stage(spark, sf))
 
@@ -538,6 +551,7 @@ QUERIES: dict[str, Query] = {
     "days_late_ref_date": q_days_late_ref_date,
     "days_late_as_of": q_days_late_as_of,
     "stage_invoices": q_stage_invoices,
+    "stage_invoices_clustered": q_stage_invoices_clustered,
     "window_flags_client_anchor": q_window_flags_client_anchor,
     "window_flags_fixed_anchor": q_window_flags_fixed_anchor,
     "window_flags_truncated": q_window_flags_truncated,

@@ -11,7 +11,7 @@ from billbook.plans.catalog import QUERIES
 
 ROUND_TRIPS = {
     "scan_csv_raw", "scan_csv_folder", "latest_file_batch", "filename_metadata", "scan_parquet_partitioned",
-    "scan_parquet_merge_schema", "audit_latest_runs", "audit_history", "control_row_book", "sink_partitioned_roundtrip",
+    "scan_parquet_merge_schema", "audit_latest_runs", "audit_history", "control_row_book", "stage_invoices_clustered", "sink_partitioned_roundtrip",
     "sink_two_level_partition_roundtrip", "export_csv_semicolon",
 }
 
@@ -198,3 +198,17 @@ def test_month_filter_reaches_the_payment_scan(spark, tmp_path):
             spark.conf.set(k, v)
     scan = [line for line in plan.splitlines() if "might_contain" in line]
     assert scan and "id_fatura" in scan[0]
+
+
+def test_stage_from_clustered_tables_needs_no_exchange(spark, sf_small):
+    from billbook.plans.catalog import RAW_QUERIES
+
+    stage = RAW_QUERIES["stage_invoices_clustered"](spark, sf_small)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _static_plan(spark, stage)
+        assert "Exchange" not in plan and plan.count("Bucketed: true") == 2
+        plain = RAW_QUERIES["stage_invoices"](spark, sf_small)
+        assert sorted(map(str, stage.collect())) == sorted(map(str, plain.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
