@@ -17,6 +17,7 @@ whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from re import _constants as sre
 from re import _parser
@@ -48,6 +49,7 @@ RULES = [
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 ]
 BASE = ("assign", "access", "hex")
+SPAN = "struct<start:int,kind:int,stop:int>"
 #: A run of fewer than 32 hex digits can't pass ``need``: this finds the same
 #: spans as the greedy rule with its length test, without listing short runs.
 LONG_FORM = {"hex": r"(?<![0-9a-f])[0-9a-f]{32,}", "access": r"AKIA[A-Z0-9]{12,}"}
@@ -159,6 +161,44 @@ def candidates(index: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     return masks.select(F.col("doc_id").alias("candidate_id"), found.alias("candidate_rules")).filter("candidate_rules != 0")
 
 
+#: Elements folded at a time: an array that grows is copied at each step, so
+#: it grows in blocks and the blocks are put together once.
+FOLD = 64
+
+
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _folded(items: Column, total: Callable[[Column, Column], Column], joined: Callable[[Column, Column], Column],
+            emit: Callable[[Column, Column], Column], kind: str) -> Column:
+    """All ``emit(carry, x)`` arrays, one behind the other, where ``carry`` (0
+    at first) has gone through ``total`` over the elements before x; ``joined``
+    puts the carries of two stretches together. Blocks are folded first, then
+    their carries, then each block from its carry."""
+    none = F.array().cast(f"array<{kind}>")
+
+    def over(v: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.greatest(F.floor((F.size(v) - 1) / F.lit(FOLD)), F.lit(0)).cast("int"))
+
+        def block(b: Column) -> Column:
+            return F.slice(v, b * FOLD + 1, F.lit(FOLD))
+
+        def from_heads(heads: Column) -> Column:
+            def one(b: Column) -> Column:
+                start = F.struct(F.get(heads, b).alias("at"), none.alias("out"))
+                return F.aggregate(block(b), start, lambda acc, x: F.struct(
+                    total(acc["at"], x).alias("at"), F.concat(acc["out"], emit(acc["at"], x)).alias("out")), lambda acc: acc["out"])
+            return F.flatten(F.transform(numbers, one))
+
+        carries = F.transform(numbers, lambda b: F.aggregate(block(b), F.lit(0), total))
+        heads = F.aggregate(carries, F.array(F.lit(0)), lambda acc, c: F.array_append(acc, joined(F.element_at(acc, -1), c)))
+        return _bound(heads, from_heads)
+
+    return _bound(items, over)
+
+
 def _spans(text: Column, number: int, rule: Rule) -> Column:
     """array<struct<start,kind,stop>> of one rule's matches. The pieces
     between matches and the matches alternate, so running lengths give the
@@ -169,17 +209,14 @@ def _spans(text: Column, number: int, rule: Rule) -> Column:
     sized = whole if not rule.need_group else F.regexp_extract_all(text, regex, F.lit(rule.need_group))
     # Zipped once: a call inside the lambda would be made again per element.
     steps = F.arrays_zip(gaps.alias("gap"), whole.alias("hit"), sized.alias("sized"))
-    steps = F.filter(steps, lambda s: s["hit"].isNotNull())
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:int,stop:int>>").alias("out"))
+    steps = F.transform(F.filter(steps, lambda s: s["hit"].isNotNull()), lambda s: F.struct(
+        F.length(s["gap"]).alias("gap"), F.length(s["hit"]).alias("hit"), (F.length(s["sized"]) >= rule.need).alias("ok")))
 
-    def step(acc, s):
-        begin = acc["at"] + F.length(s["gap"])
-        stop = begin + F.length(s["hit"])
-        span = F.struct(begin.alias("start"), F.lit(number).alias("kind"), stop.alias("stop"))
-        return F.struct(stop.alias("at"),
-                        F.when(F.length(s["sized"]) >= rule.need, F.array_append(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+    def span(at: Column, s: Column) -> Column:
+        found = F.struct((at + s["gap"]).alias("start"), F.lit(number).alias("kind"), (at + s["gap"] + s["hit"]).alias("stop"))
+        return F.when(s["ok"], F.array(found)).otherwise(F.array().cast(f"array<{SPAN}>"))
 
-    return F.aggregate(steps, start, step, lambda acc: acc["out"])
+    return _folded(steps, lambda at, s: at + s["gap"] + s["hit"], lambda a, b: a + b, span, SPAN)
 
 
 def secret_spans(docs: DataFrame, rules: list[Rule] = RULES, doc_id: str = "doc_id", text: str = "text",
@@ -192,7 +229,7 @@ def secret_spans(docs: DataFrame, rules: list[Rule] = RULES, doc_id: str = "doc_
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *carried)
     joined = rows.join(hits.hint("shuffle_hash"), rows["doc_id"].eqNullSafe(hits["candidate_id"]), "left")
     t = F.col("text")
-    none = F.array().cast("array<struct<start:int,kind:int,stop:int>>")
+    none = F.array().cast(f"array<{SPAN}>")
     found = []
     for number, rule in enumerate(rules):
         if trigram_query(rule.regex):
@@ -229,15 +266,36 @@ def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret span replaced by ``mask`` (overlapping spans
     become one). Null texts stay null."""
     found = secret_spans(docs, keep=tuple(docs.columns))
-    t, spans = F.col("text"), F.col("secret_spans")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    t = F.col("text")
+    lead = "struct<start:int,stop:int>"
+
+    def gap(at: Column, s: Column) -> Column:
+        """The text between what is masked so far and a span beyond it."""
+        fresh = F.array(F.struct(at.alias("start"), s["start"].alias("stop")))
+        return F.when(s["start"] >= at, fresh).otherwise(F.array().cast(f"array<{lead}>"))
 
-    def step(acc, s):
-        fresh = s["start"] >= acc["at"]
-        lead = F.substring(t, acc["at"] + 1, s["start"] - acc["at"])
-        return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"),
-                        F.when(fresh, F.concat(acc["out"], lead, F.lit(mask))).otherwise(acc["out"]).alias("out"))
+    def masked(spans: Column) -> Column:
+        gaps = _folded(spans, lambda at, s: F.greatest(at, s["stop"]), F.greatest, gap, lead)
+        last = F.struct(F.array_max(F.transform(spans, lambda s: s["stop"])).alias("start"), F.length(t).alias("stop"))
+        # The text in pieces of PIECE characters: a place is found without walking from the text's start.
+        return _bound(F.regexp_extract_all(t, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)), lambda pieces: F.array_join(
+            F.transform(F.array_append(gaps, last), lambda g: _between(pieces, g["start"], g["stop"])), mask))
 
-    cleaned = F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(t, a["at"] + 1, F.length(t))))
-    text = F.when(F.size(spans) > 0, cleaned).otherwise(t)
+    text = F.when(F.size("secret_spans") > 0, _bound(F.col("secret_spans"), masked)).otherwise(t)
     return found.select(*[text.alias(c) if c == "text" else F.col("secret_row")[c].alias(c) for c in docs.columns])
+
+
+#: Characters of a piece of a text that is cut up.
+PIECE = 1024
+
+
+def _between(pieces: Column, start: Column, stop: Column) -> Column:
+    """Characters start to stop of the text that ``pieces`` make up."""
+    first = F.floor(start / F.lit(PIECE)).cast("int")
+    count = F.greatest(F.ceil(stop / F.lit(PIECE)).cast("int") - first, F.lit(0))
+
+    def part(piece: Column, i: Column) -> Column:
+        base = (first + i) * PIECE
+        return F.substring(piece, F.greatest(start - base, F.lit(0)) + 1, F.least(stop - base, F.lit(PIECE)) - F.greatest(start - base, F.lit(0)))
+
+    return F.array_join(F.transform(F.slice(pieces, first + 1, count), part), "")
