@@ -563,12 +563,12 @@ def test_extra_columns_with_clashing_names(spark, make_docs):
 
 def test_sample_cut_bounds_each_group(spark):
     rows = spark.range(4000).selectExpr("id as doc_id", "case when id % 4 = 0 then 'b' else 'a' end as lang")
-    keep, sizes = sample_cut(rows, 1200, "lang")
+    keep, sizes, _ = sample_cut(rows, 1200, "lang")
     got = {r["lang"]: r["count"] for r in rows.filter(keep).groupBy("lang").count().collect()}
     assert got == sizes and got["b"] == 1000 and 1000 <= got["a"] <= 1200
-    keep, sizes = sample_cut(rows, 5000)
+    keep, sizes, _ = sample_cut(rows, 5000)
     assert rows.filter(keep).count() == 4000 and list(sizes.values()) == [4000]
-    keep, sizes = sample_cut(rows.limit(0), 10)
+    keep, sizes, _ = sample_cut(rows.limit(0), 10)
     assert rows.filter(keep).count() == 0 and sizes == {}
     same = spark.range(50).selectExpr("7L as doc_id")
     assert same.filter(sample_cut(same, 49)[0]).count() == 0 and same.filter(sample_cut(same, 50)[0]).count() == 50
