@@ -4,8 +4,9 @@ programming.
 Byte-pair encoding keeps a prefix property: for every prefix of a word there
 is exactly one token that ends its encoding. So the last token of each prefix
 is stored, left to right: the tokens that end at a place come from one walk of
-a suffix automaton of the word against the vocabulary, and the candidate is
-the one whose preceding prefix is encoded and whose pair with that prefix's
+the word through the suffix automaton of the vocabulary (the state is the
+longest suffix read so far that lies in a token; the tokens that end there
+stand on its suffix links), and the candidate is the one whose preceding prefix is encoded and whose pair with that prefix's
 last token is compatible (encoding the two tokens' bytes as one text gives
 these two tokens back). Back-pointers then give the exact ids.
 
@@ -13,8 +14,9 @@ Texts are cut into words by the tokenizer's pattern first, and special tokens
 found in the text stand for themselves, as the tokenizer file says. Words
 recur, so each task remembers their encodings, CACHE of them at most.
 
-Edge cases: null and empty texts have no tokens; rows are encoded one by one;
-an empty table gives no rows; extra columns are never read. Decoding maps ids
+Edge cases: null and empty texts have no tokens; rows are encoded one by one,
+rows with a null or repeated doc_id too; words of over LONG bytes are encoded
+but not remembered; an empty table gives no rows; extra columns are never read. Decoding maps ids
 to bytes and reads them as UTF-8, invalid bytes becoming U+FFFD.
 """
 
@@ -30,6 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 
 CACHE = 300_000
+LONG = 256
 #: Tokens and rows that a task gathers before it gives them out.
 HELD = 1 << 17
 
@@ -60,7 +63,51 @@ def load(path: str) -> dict:
     for m in spec["model"]["merges"]:
         a, b = m if isinstance(m, list) else m.split(" ", 1)
         merges.append((bytes(to_byte[c] for c in a), bytes(to_byte[c] for c in b)))
-    return {"tokens": tokens, "merges": merges, "special": special}
+    return {"tokens": tokens, "merges": merges, "special": special, "automaton": suffix_automaton(tokens)}
+
+
+def suffix_automaton(tokens: dict[bytes, int]) -> dict[str, np.ndarray]:
+    """The suffix automaton of all tokens: ``edge`` (state * 256 + byte) to
+    ``target``, and per state its suffix ``link``, the ``size`` of its longest
+    string, and the ``token`` which that string is, or -1. A token is the
+    longest string of its state, for nothing stands before its first byte."""
+    edges: list[dict[int, int]] = [{}]
+    link, size, token_of = [-1], [0], [-1]
+
+    def state(out: dict[int, int], up: int, length: int) -> int:
+        edges.append(out)
+        link.append(up)
+        size.append(length)
+        token_of.append(-1)
+        return len(size) - 1
+
+    def split(before: int, byte: int, old: int) -> int:
+        """The strings of ``old`` that ``before`` and ``byte`` give, as a state of their own."""
+        new = state(dict(edges[old]), link[old], size[before] + 1)
+        link[old] = new
+        while before != -1 and edges[before].get(byte) == old:
+            edges[before][byte] = new
+            before = link[before]
+        return new
+
+    for token, token_id in tokens.items():
+        at = 0
+        for byte in token:
+            old = edges[at].get(byte)
+            if old is not None:
+                at = old if size[old] == size[at] + 1 else split(at, byte, old)
+                continue
+            before, at = at, state({}, 0, size[at] + 1)
+            while before != -1 and byte not in edges[before]:
+                edges[before][byte] = at
+                before = link[before]
+            if before != -1:
+                old = edges[before][byte]
+                link[at] = old if size[old] == size[before] + 1 else split(before, byte, old)
+        token_of[at] = token_id
+    pairs = [(s << 8 | b, t) for s, out in enumerate(edges) for b, t in out.items()]
+    edge, target = np.array(pairs, dtype=np.int64).reshape(-1, 2).T
+    return {"edge": edge, "target": target, "link": np.array(link), "size": np.array(size), "token": np.array(token_of)}
 
 
 _codecs: dict[str, "Codec"] = {}
@@ -86,21 +133,24 @@ class Codec:
             pair = (self.ids[a], self.ids[b])
             self.rank.setdefault(pair, r)
             self.parts.setdefault(self.ids[a + b], (*pair, r))
-        #: Every suffix of every token: the states of the walk, with the token's id or -1.
-        self.suffixes = self._suffix_states()
+        walk = spec["automaton"]
+        self.edge = dict(zip(walk["edge"].tolist(), walk["target"].tolist()))
+        self.link, self.size = walk["link"].tolist(), walk["size"].tolist()
+        self.ends = self._ends(walk["token"].tolist())
         self.compatible = lru_cache(maxsize=200_000)(self._compatible)
         self.words: dict[str, str] = {}
         self.split = regex.compile(PATTERN)
         names = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
 
-    def _suffix_states(self) -> dict[bytes, int]:
-        states: dict[bytes, int] = {}
-        for token in self.ids:
-            for i in range(len(token)):
-                states.setdefault(token[i:], -1)
-        states.update(self.ids)
-        return states
+    def _ends(self, token: list[int]) -> list[tuple[tuple[int, int], ...]]:
+        """Per state the (size, id) of the tokens that end its longest string,
+        short ones first."""
+        ends: list[tuple] = [()] * len(token)
+        for s in sorted(range(1, len(token)), key=self.size.__getitem__):  # a link is shorter
+            up = ends[self.link[s]]
+            ends[s] = (*up, (self.size[s], token[s])) if token[s] >= 0 else up
+        return ends
 
     def _compatible(self, left: int, right: int) -> bool:
         """Encoding the bytes of both tokens gives the two tokens back: no
@@ -124,14 +174,22 @@ class Codec:
         """The last token of every prefix, then the back-pointers."""
         n = len(word)
         last, size = [-1] * (n + 1), [0] * (n + 1)
-        states, compatible = self.suffixes, self.compatible
-        for end in range(1, n + 1):
-            for start in range(end - 1, -1, -1):
-                token = states.get(word[start:end])
-                if token is None:
-                    break
-                if token >= 0 and (not start or compatible(last[start], token)):
-                    last[end], size[end] = token, end - start
+        edge, link, longest, compatible = self.edge, self.link, self.size, self.compatible
+        state = length = 0
+        for end, byte in enumerate(word, 1):
+            follow = edge.get(state << 8 | byte)
+            while follow is None and state:
+                state = link[state]
+                length = longest[state]
+                follow = edge.get(state << 8 | byte)
+            if follow is None:  # no token holds the byte
+                state = length = 0
+                continue
+            state, length = follow, length + 1
+            # A shorter string of the state ends only with what its link ends with.
+            for n_bytes, token in self.ends[state if length == longest[state] else link[state]]:
+                if n_bytes == end or compatible(last[end - n_bytes], token):
+                    last[end], size[end] = token, n_bytes
                     break
         out = []
         while n:
@@ -142,9 +200,10 @@ class Codec:
     def word(self, w: str) -> str:
         """Comma-joined ids of a word, remembered."""
         got = ",".join(map(str, self.encode_word(w.encode("utf-8", "surrogatepass"))))
-        if len(self.words) >= CACHE:  # bounded memory: start afresh
-            self.words.clear()
-        self.words[w] = got
+        if len(w) <= LONG:
+            if len(self.words) >= CACHE:  # bounded memory: start afresh
+                self.words.clear()
+            self.words[w] = got
         return got
 
     def encode_joined(self, text: str) -> str:
