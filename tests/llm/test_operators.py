@@ -131,6 +131,25 @@ def test_bpe_equals_the_library(make_docs, corpus, edge_docs):
     assert {r["n_tokens"] for r in bpe.token_rows(edge_docs.filter("doc_id <= 2"), BPE).collect()} == {0}
 
 
+def test_suffix_automaton_lists_the_tokens_that_end_at_each_place():
+    import random
+    rnd = random.Random(5)
+    for _ in range(60):
+        words = {bytes(rnd.choice(b"abc") for _ in range(rnd.randrange(1, 7))) for _ in range(rnd.randrange(1, 25))}
+        tokens = {w: i for i, w in enumerate(sorted(words))}
+        codec = bpe.Codec({"tokens": tokens, "merges": [], "special": {}, "automaton": bpe.suffix_automaton(tokens)})
+        factors = {t[a:b] for t in tokens for a in range(len(t)) for b in range(a + 1, len(t) + 1)}
+        text, state, length = bytes(rnd.choice(b"abcd") for _ in range(60)), 0, 0
+        for end, byte in enumerate(text, 1):
+            while (follow := codec.edge.get(state << 8 | byte)) is None and state:
+                state = codec.link[state]
+                length = codec.size[state]
+            state, length = (follow, length + 1) if follow is not None else (0, 0)
+            assert length == max((n for n in range(8) if n <= end and text[end - n:end] in factors), default=0)
+            ends = codec.ends[state if length == codec.size[state] else codec.link[state]] if length else ()
+            assert list(ends) == [(n, tokens[text[end - n:end]]) for n in range(1, min(end, 7) + 1) if text[end - n:end] in tokens]
+
+
 def test_bpe_encodes_every_token_and_random_bytes():
     tokenizers = pytest.importorskip("tokenizers")
     import random
@@ -157,6 +176,57 @@ def test_ring_shards(spark, sf_small, corpus, edge_docs):
     assert ring.shard_rows(edge_docs.limit(0)).count() == 0
 
 
+def walked_ring(cells, shards):
+    """Each cell's rows walk the ring one by one, round by round, until a
+    shard has room: shard -> rows by home shard."""
+    points, total = ring.ring_points(shards), len(cells)
+    room = [total // shards + (s < total % shards) for s in range(shards)]
+    waiting = [(c, next((i for i, (at, _) in enumerate(points) if at >= c), 0)) for c in sorted(cells)]
+    home = [points[i][1] for _, i in waiting]
+    waiting = [(row, i) for row, (_, i) in enumerate(waiting)]
+    dealt, step = collections.Counter(), 0
+    while waiting:
+        left = []
+        for row, i in waiting:
+            shard = points[i][1]
+            if room[shard]:
+                room[shard] -= 1
+                dealt[home[row], shard] += 1
+            else:
+                left.append((row, i))
+        waiting = []
+        for row, i in left:
+            while not room[points[i][1]]:
+                i = (i + 1) % len(points)
+            waiting.append((row, i))
+    return dealt
+
+
+def test_ring_equals_a_walk_row_by_row(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    cells = [r[0] for r in docs.select(F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - ring.CELL_BITS)).collect()]
+    got = collections.Counter((r["home_shard"], r["shard"]) for r in ring.shard_rows(docs).select("home_shard", "shard").collect())
+    assert got == walked_ring(cells, 24)
+
+
+def test_ring_shares_out_repeated_and_null_ids(spark, make_docs):
+    rows = [(None, "same text")] * 300 + [(None, f"text {i}") for i in range(300)] + [(7, None)] * 50 + [(i, f"own {i}") for i in range(50)]
+    docs = make_docs(rows)
+    found = ring.bundles(docs, "doc_id", "text", ring.CELL_BITS, parts=16, bundle=20)
+    load = found.groupBy("cell", "part").agg(F.sum("copies").alias("n")).agg(F.max("n")).first()[0]
+    assert load < 150  # of 600 rows without an id
+    for bundle in (20, ring.BUNDLE):
+        dealt = ring.shard_rows(docs, shards=7, bundle=bundle, parts=16)
+        same = sorted((r["doc_id"] or -1, r["size"], r["text_crc32"]) for r in dealt.collect())
+        assert same == sorted((d or -1, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for d, t in rows)
+        by = collections.defaultdict(list)
+        for r in dealt.collect():
+            by[r["shard"]].append(r["slot"])
+        assert sorted(map(len, by.values())) == [100] * 7 and all(sorted(s) == list(range(100)) for s in by.values())
+    one = sorted(map(tuple, ring.shard_rows(docs, shards=7).collect()), key=str)
+    assert one == sorted(map(tuple, ring.shard_rows(docs.repartition(5, "text"), shards=7).collect()), key=str)
+
+
 def test_toxicity_matches_misspellings_and_context():
     s = toxicity.Scorer({"idiot$", "moro"}, {"idiot$", "worthless$"})
     assert s.look("idiot") == ("idiot$", 0) and s.look("ideot") == ("idiot$", 1) and s.look("moronic") == ("moro", 0)
