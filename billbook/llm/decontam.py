@@ -6,26 +6,35 @@ pieces unchanged. The pieces of all items are searched at once in every text
 bit-parallel distance decides whether it is there within k edits.
 
 Texts are compared in lower case with runs of white space as one blank. k is
-EDIT_SHARE of the item's length. Items run in blocks of BLOCK; each block is
-one pass over the documents, so what is shipped to tasks is bounded whatever
-the number of items.
+EDIT_SHARE of the item's length. Items run in hashed blocks of BLOCK_BYTES of
+text (a longer item is a block of its own). The driver holds one block at a
+time: with several, each one's findings are written before the next block is
+read, so what the driver keeps and a task is sent is bounded whatever the
+number of items. Each block is one pass over the documents.
 
 Edge cases: null or empty texts match nothing, of documents and of items; an
 item with a text but a null id is an item like others, its rows have the null
 id; items of fewer than SHORT characters are matched unchanged as whole words
-only; repeated items each get their rows; repeated documents too; extra columns are never read.
+only; repeated items each get their rows (equal ones are searched once); repeated documents too; extra columns are never read.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from billbook.llm.common import free_name, materialize
+from billbook.llm.lexical import blocks_of
+
 EDIT_SHARE = 0.06
 SHORT = 32
-BLOCK = 5000
+#: Bytes of item text in a block; its automaton takes some 60 times as much.
+BLOCK_BYTES = 1 << 21
 
 OUT = "doc_id long, item_id long, distance int, n_places int, place long"
 
@@ -77,13 +86,13 @@ def myers(pattern: str, text: str) -> tuple[int, int]:
 class Matcher:
     """The pieces of one block of items in an automaton."""
 
-    def __init__(self, items: list[tuple[int | None, str]], share: float = EDIT_SHARE):
-        self.items = [(i, normal(t)) for i, t in items]
-        self.items = [(i, t) for i, t in self.items if t]
-        self.k = [budget(len(t), share) for _, t in self.items]
+    def __init__(self, items: list[tuple[int | None, str, int]], share: float = EDIT_SHARE):
+        self.items = [(i, normal(t), copies) for i, t, copies in items]
+        self.items = [item for item in self.items if item[1]]
+        self.k = [budget(len(t), share) for _, t, _ in self.items]
         self.automaton = ahocorasick.Automaton()
         where: dict[str, list[tuple[int, int]]] = {}
-        for number, (_, t) in enumerate(self.items):
+        for number, (_, t, _) in enumerate(self.items):
             for offset, piece in pieces(t, self.k[number]):
                 where.setdefault(piece, []).append((number, offset))
         for piece, places in where.items():
@@ -109,7 +118,7 @@ class Matcher:
                 starts.setdefault(number, set()).add(begin - offset)
         out = []
         for number, guesses in starts.items():
-            item_id, item = self.items[number]
+            item_id, item, copies = self.items[number]
             k, n = self.k[number], len(item)
             best, count, first, last_end = None, 0, 0, -1
             ordered = sorted(guesses)
@@ -139,23 +148,33 @@ class Matcher:
                     count += 1
                     last_end = end
             if count:
-                out.append((item_id, best, count, first))
+                out += [(item_id, best, count, first)] * copies
         return sorted(out, key=lambda m: (m[0] is None, m[0] or 0, *m[1:]))
 
 
-def leak_rows(docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE, block: int = BLOCK) -> DataFrame:
+def item_blocks(benchmark: DataFrame, limit: int) -> tuple[int, Iterator[list[tuple[int | None, str, int]]]]:
+    """How many blocks there are, and (item_id, text, copies) of one after the
+    other; empty ones are left out."""
+    items = benchmark.filter("text is not null").groupBy("item_id", "text").agg(F.count("*").alias("copies"))
+    items = items.withColumn("item_hash", F.xxhash64("item_id", "text"))
+    blocks = blocks_of(items, limit)
+
+    def read(b: int) -> list[tuple[int | None, str, int]]:
+        own = items.filter(F.pmod("item_hash", F.lit(blocks)) == b).orderBy("item_id", "text")
+        return [(r["item_id"], r["text"], r["copies"]) for r in own.collect()]  # ``limit`` bytes
+
+    return blocks, (own for own in map(read, range(blocks)) if own or blocks == 1)
+
+
+def leak_rows(docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE, limit: int = BLOCK_BYTES) -> DataFrame:
     """One row per (document, item) within the item's budget: the least
     distance, how many places, and where the first stands in the normalised
     text."""
-    numbered = benchmark.select("item_id", "text").filter("text is not null")
-    blocks = max(1, -(-numbered.count() // block))
+    blocks, each = item_blocks(benchmark, limit)
     out = None
-    for b in range(blocks):
-        # A hashed block, read on its own; each holds about ``block`` items.
-        mine = numbered.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        matcher_items = [(r["item_id"], r["text"]) for r in mine.orderBy("item_id", "text").toLocalIterator()]
+    for items in each:
 
-        def scan(batches, items=matcher_items):
+        def scan(batches, items=items):
             matcher = Matcher(items, share)
             for batch in batches:
                 rows = []
@@ -167,24 +186,37 @@ def leak_rows(docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE,
                                                  names=["doc_id", "item_id", "distance", "n_places", "place"])
 
         found = docs.select("doc_id", "text").mapInArrow(scan, OUT)
+        if blocks > 1:  # written, so that a block's items are let go before the next one's come
+            found = materialize(found, "leaks")
         out = found if out is None else out.unionAll(found)
     return out
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE, block: int = BLOCK) -> DataFrame:
-    """``docs`` without the rows whose text holds an item. The texts are
-    filtered where they are read, block by block; nothing is shuffled."""
-    numbered = benchmark.select("item_id", "text").filter("text is not null")
-    blocks = max(1, -(-numbered.count() // block))
+def without_leaks(docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE, limit: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` without the rows whose text holds an item. One block: the texts
+    are filtered where they are read, nothing is shuffled. Several: each block
+    writes the digests of the texts it finds, and these texts go."""
+    blocks, each = item_blocks(benchmark, limit)
     where = docs.columns.index("text")
-    for b in range(blocks):
-        mine = numbered.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        items = [(r["item_id"], r["text"]) for r in mine.orderBy("item_id", "text").toLocalIterator()]
+    if blocks == 1:
+        items = next(each)
 
-        def keep(batches, items=items):
+        def keep(batches):
             matcher = Matcher(items, share)
             for batch in batches:
                 yield batch.filter(pa.array([not matcher.find(normal(t.as_py())) for t in batch.column(where)], pa.bool_()))
 
-        docs = docs.mapInArrow(keep, docs.schema)
-    return docs
+        return docs.mapInArrow(keep, docs.schema)
+    digest, leaks = free_name(docs, "digest"), None
+    for items in each:
+
+        def digests(batches, items=items):
+            matcher = Matcher(items, share)
+            for batch in batches:
+                texts = (t.as_py() for t in batch.column(0))
+                found = {hashlib.sha256(t.encode()).hexdigest() for t in texts if matcher.find(normal(t))}
+                yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], names=[digest])
+
+        found = materialize(docs.select("text").mapInArrow(digests, f"{digest} string").distinct(), "leaked-texts")
+        leaks = found if leaks is None else leaks.unionAll(found)
+    return docs.join(leaks, F.sha2(docs["text"].cast("binary"), 256) == leaks[digest], "left_anti")

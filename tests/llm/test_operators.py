@@ -592,7 +592,7 @@ def test_decontamination(make_docs, spark, edge_docs):
     got = {(r["doc_id"], r["item_id"]): r["distance"] for r in decontam.leak_rows(docs, bench).collect()}
     assert got == {(1, 1): 0, (2, 1): 2, (3, 1): 0, (6, 4): 0, (8, 1): 0, (8, 2): 0}
     assert sorted(r["doc_id"] for r in decontam.without_leaks(docs, bench).collect()) == [4, 5, 7]
-    assert {(r["doc_id"], r["item_id"]): r["distance"] for r in decontam.leak_rows(docs, bench, block=1).collect()} == got
+    assert {(r["doc_id"], r["item_id"]): r["distance"] for r in decontam.leak_rows(docs, bench, limit=130).collect()} == got
     assert decontam.leak_rows(edge_docs, bench).count() == 0 and decontam.leak_rows(docs, bench.limit(0)).count() == 0
 
 
@@ -600,10 +600,48 @@ def test_benchmark_items_without_id(make_docs, spark):
     item = "which of the seven wizards brews a strange potion in the old tower near the river bank"
     bench = spark.createDataFrame([(None, item), (1, item), (None, "tiny item"), (2, None)], "item_id long, text string")
     docs = make_docs([(1, "start " + item + " end"), (2, "a tiny item here"), (3, "clean text")])
-    for block in (1, 5000):
-        got = {(r["doc_id"], r["item_id"], r["distance"]) for r in decontam.leak_rows(docs, bench, block=block).collect()}
+    for limit in (90, decontam.BLOCK_BYTES):
+        got = {(r["doc_id"], r["item_id"], r["distance"]) for r in decontam.leak_rows(docs, bench, limit=limit).collect()}
         assert got == {(1, None, 0), (1, 1, 0), (2, None, 0)}
-        assert [r["doc_id"] for r in decontam.without_leaks(docs, bench, block=block).collect()] == [3]
+        assert [r["doc_id"] for r in decontam.without_leaks(docs, bench, limit=limit).collect()] == [3]
+
+
+def test_leaks_equal_brute_force(make_docs, spark, corpus, sf_small):
+    """Every (document, item) pair against the edit distance over whole texts."""
+    import random
+    rnd = random.Random(11)
+    rows = spark.read.parquet(f"{sf_small}/benchmark.parquet").orderBy("item_id").collect()
+    items = {r["item_id"]: r["text"] for r in rows[:14]} | {901: "tiny item", 902: "tiny item"}
+    texts = [t for t in corpus.values() if len(t) < 700][:40]
+    for item in list(items.values())[:14]:
+        for edits in (0, 1, decontam.budget(len(item)), decontam.budget(len(item)) + 3):
+            letters = list(item)
+            for _ in range(edits):
+                at = rnd.randrange(len(letters))
+                letters[at:at + rnd.randrange(2)] = rnd.choice(["", "q", "zx"])
+            texts.append(f"before {''.join(letters)} after")
+    texts += ["a tiny item.", "a tiny items", "a tiny  ITEM", ""]
+    want = set()
+    for doc_id, text in enumerate(texts):
+        for item_id, item in items.items():
+            t, p = decontam.normal(text), decontam.normal(item)
+            k = decontam.budget(len(p))
+            if k:
+                distance = decontam.myers(p, t)[0]
+                if distance <= k:
+                    want.add((doc_id, item_id, distance))
+            elif re.search(rf"(?<![^\W_]){re.escape(p)}(?![^\W_])", t):
+                want.add((doc_id, item_id, 0))
+    docs = make_docs([*enumerate(texts), (None, None)])
+    bench = spark.createDataFrame([*items.items(), (901, "tiny item")], "item_id long, text string")  # one item twice
+    for limit in (1500, decontam.BLOCK_BYTES):
+        got = [(r["doc_id"], r["item_id"], r["distance"]) for r in decontam.leak_rows(docs, bench, limit=limit).collect()]
+        assert set(got) == want and len(got) == len(want) + sum(i == 901 for _, i, _ in want)
+        clashing = docs.withColumn("digest", F.lit("d")).withColumn("item_id", F.lit(1))
+        left = decontam.without_leaks(clashing, bench, limit=limit)
+        assert left.columns == clashing.columns
+        assert {r["doc_id"] for r in left.collect()} == {*range(len(texts)), None} - {d for d, _, _ in want}
+    assert decontam.leak_rows(docs.limit(0), bench).count() == 0 and decontam.without_leaks(docs, bench.limit(0)).count() == docs.count()
 
 
 def test_myers_equals_dynamic_programming():
