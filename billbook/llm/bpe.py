@@ -145,11 +145,11 @@ class Codec:
 
     def _ends(self, token: list[int]) -> list[tuple[tuple[int, int], ...]]:
         """Per state the (size, id) of the tokens that end its longest string,
-        short ones first."""
+        long ones first."""
         ends: list[tuple] = [()] * len(token)
         for s in sorted(range(1, len(token)), key=self.size.__getitem__):  # a link is shorter
             up = ends[self.link[s]]
-            ends[s] = (*up, (self.size[s], token[s])) if token[s] >= 0 else up
+            ends[s] = ((self.size[s], token[s]), *up) if token[s] >= 0 else up
         return ends
 
     def _compatible(self, left: int, right: int) -> bool:
@@ -174,7 +174,7 @@ class Codec:
         """The last token of every prefix, then the back-pointers."""
         n = len(word)
         last, size = [-1] * (n + 1), [0] * (n + 1)
-        edge, link, longest, compatible = self.edge, self.link, self.size, self.compatible
+        edge, link, longest, ends, compatible = self.edge, self.link, self.size, self.ends, self.compatible
         state = length = 0
         for end, byte in enumerate(word, 1):
             follow = edge.get(state << 8 | byte)
@@ -187,7 +187,8 @@ class Codec:
                 continue
             state, length = follow, length + 1
             # A shorter string of the state ends only with what its link ends with.
-            for n_bytes, token in self.ends[state if length == longest[state] else link[state]]:
+            # A token that is the whole prefix stands (each token encodes to itself).
+            for n_bytes, token in ends[state if length == longest[state] else link[state]]:
                 if n_bytes == end or compatible(last[end - n_bytes], token):
                     last[end], size[end] = token, n_bytes
                     break

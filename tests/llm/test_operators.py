@@ -147,7 +147,7 @@ def test_suffix_automaton_lists_the_tokens_that_end_at_each_place():
             state, length = (follow, length + 1) if follow is not None else (0, 0)
             assert length == max((n for n in range(8) if n <= end and text[end - n:end] in factors), default=0)
             ends = codec.ends[state if length == codec.size[state] else codec.link[state]] if length else ()
-            assert list(ends) == [(n, tokens[text[end - n:end]]) for n in range(1, min(end, 7) + 1) if text[end - n:end] in tokens]
+            assert list(ends)[::-1] == [(n, tokens[text[end - n:end]]) for n in range(1, min(end, 7) + 1) if text[end - n:end] in tokens]
 
 
 def test_bpe_encodes_every_token_and_random_bytes():
