@@ -12,7 +12,9 @@ these two tokens back). Back-pointers then give the exact ids.
 
 Texts are cut into words by the tokenizer's pattern first, and special tokens
 found in the text stand for themselves, as the tokenizer file says. Words
-recur, so each task remembers their encodings, CACHE of them at most.
+recur, so each worker remembers their encodings in two generations of CACHE
+words at most: when the young one is full it replaces the old one, and words
+met again move to the new young one, so frequent words are never forgotten.
 
 Edge cases: null and empty texts have no tokens; rows are encoded one by one,
 rows with a null or repeated doc_id too; words of over LONG bytes are encoded
@@ -139,6 +141,7 @@ class Codec:
         self.ends = self._ends(walk["token"].tolist())
         self.compatible = lru_cache(maxsize=200_000)(self._compatible)
         self.words: dict[str, str] = {}
+        self.aged: dict[str, str] = {}
         self.split = regex.compile(PATTERN)
         names = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
@@ -200,23 +203,28 @@ class Codec:
 
     def word(self, w: str) -> str:
         """Comma-joined ids of a word, remembered."""
-        got = ",".join(map(str, self.encode_word(w.encode("utf-8", "surrogatepass"))))
+        got = self.aged.get(w) or ",".join(map(str, self.encode_word(w.encode("utf-8", "surrogatepass"))))
         if len(w) <= LONG:
-            if len(self.words) >= CACHE:  # bounded memory: start afresh
-                self.words.clear()
+            if len(self.words) >= CACHE:  # bounded memory: the old generation goes
+                self.aged, self.words = self.words, {}
             self.words[w] = got
         return got
 
     def encode_joined(self, text: str) -> str:
         """The ids of a text as decimals joined by commas."""
-        known, out = self.words, []
+        out = []
         parts = self.cut.split(text) if self.cut and any(s in text for s in self.special) else [text]
         for part in parts:
             if part in self.special:
                 out.append(str(self.special[part]))
             else:
+                known = self.words
                 for w in self.split.findall(part):
-                    out.append(known.get(w) or self.word(w))
+                    ids = known.get(w)
+                    if ids is None:
+                        ids = self.word(w)
+                        known = self.words
+                    out.append(ids)
         return ",".join(out)
 
     def encode(self, text: str | None) -> list[int]:
