@@ -22,11 +22,12 @@ Plan (chosen for skew and width, see README):
 from __future__ import annotations
 
 import datetime as _dt
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import product
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from billbook.functions import flag_within, months_between, payment_status_total, truncated_months
@@ -110,12 +111,25 @@ def window_flags_truncated(df: DataFrame, run_date, date_col: str = "data_emissa
     return df.select(*df.columns, *flags)
 
 
-def _rows(stage: DataFrame) -> DataFrame:
+#: Stage rows a task of the book is dealt. A row is 26 shuffled bytes, but 2 to
+#: 3 KB in a task (45 aggregates, twice, and their map), so tasks are dealt by
+#: rows: Spark's own size of a partition would put gigabytes in one.
+TASK_ROWS = 50_000
+
+
+def book_tasks(spark: SparkSession, rows: int, task_rows: int = TASK_ROWS) -> int:
+    """Into how many tasks a stage of about ``rows`` rows is dealt: one per
+    ``task_rows`` rows, and one per core at least."""
+    return max(spark.sparkContext.defaultParallelism, math.ceil(rows / task_rows))
+
+
+def _rows(stage: DataFrame, tasks: int | None = None) -> DataFrame:
     """The stage dealt out by client, each row as the partial of one: all that
     follows (anchor, flags, classes, pivot) is grouped by client and more, so
     this is the book's only shuffle."""
     v, d = F.col(VALUE_COL), F.col(DAYS_COL)
-    return stage.repartition("id_cliente").select(
+    dealt = stage.repartition(tasks, "id_cliente") if tasks else stage.repartition("id_cliente")
+    return dealt.select(
         "ref", "id_cliente", CLASS_COL, "data_emissao",
         F.col(COUNT_COL).cast("long").alias("n"),
         v.cast("decimal(25,2)").alias("v_sum"), F.when(v.isNotNull(), 1).otherwise(0).cast("long").alias("v_cnt"),
@@ -156,10 +170,11 @@ def heavy_clients(rows: DataFrame, looked: float = 1.0, heavy_rows: int = HEAVY_
     return [r["id_cliente"] for r in counts.orderBy(F.desc("n"), "id_cliente").limit(MOST_HEAVY).collect()]
 
 
-def book_long(stage: DataFrame, anchor=None, combine: bool = False) -> DataFrame:
+def book_long(stage: DataFrame, anchor=None, combine: bool = False, tasks: int | None = None) -> DataFrame:
     """Book in long form: one row per (ref, client, class) with 8 metrics x 5
-    windows (``{metric}__{window}`` columns). ``combine``: for heavy clients."""
-    p = _partials(stage) if combine else _rows(stage)
+    windows (``{metric}__{window}`` columns). ``combine``: for heavy clients;
+    ``tasks``: how many the others are dealt to."""
+    p = _partials(stage) if combine else _rows(stage, tasks)
     a = _anchor_col(anchor)
     if a is None:
         # One window aggregate, referenced by all four flags.
@@ -218,26 +233,28 @@ _LONG_NAME = {
 
 
 def book_by_cohort(stage: DataFrame, dt_proc: str, anchor=None, specs: list[MetricSpec] | None = None,
-                   heavy: Sequence[int | None] = ()) -> DataFrame:
+                   heavy: Sequence[int | None] = (), tasks: int | None = None) -> DataFrame:
     """The 200-metric book, one row per (ref, client), keys first.
 
     A client whose rows all have a NULL class still gets a row (sums 0,
     others NULL). Only SUM metrics are COALESCEd to 0. The clients in ``heavy``
     (``heavy_clients``) are read on their own and combined before they are
-    dealt out, so that none of them is one task's work.
+    dealt out, so that none of them is one task's work. The others are dealt to
+    ``tasks`` tasks (``book_tasks``; by default as Spark sizes partitions).
     """
     if heavy:
         known = [c for c in heavy if c is not None]
         hot = F.coalesce(F.col("id_cliente").isin(known), F.lit(None in heavy))
-        parts = [book_by_class(stage.where(rows), dt_proc, anchor, specs, combine) for rows, combine in ((~hot, False), (hot, True))]
+        parts = [book_by_class(stage.where(rows), dt_proc, anchor, specs, combine, tasks) for rows, combine in ((~hot, False), (hot, True))]
         return parts[0].unionAll(parts[1])
-    return book_by_class(stage, dt_proc, anchor, specs, False)
+    return book_by_class(stage, dt_proc, anchor, specs, False, tasks)
 
 
-def book_by_class(stage: DataFrame, dt_proc: str, anchor, specs: list[MetricSpec] | None, combine: bool) -> DataFrame:
+def book_by_class(stage: DataFrame, dt_proc: str, anchor, specs: list[MetricSpec] | None, combine: bool,
+                  tasks: int | None = None) -> DataFrame:
     """The long form pivoted to one row per (ref, client)."""
     specs = specs or metric_specs()
-    long = book_long(stage, anchor, combine)
+    long = book_long(stage, anchor, combine, tasks)
     # Pivot: each (ref, client) has at most one long row per class (five),
     # so its rows are gathered into a class -> metrics map (a collect bounded
     # by the number of classes; NULL-class rows add nothing) and the 200

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from billbook.operators.book import book_by_cohort, heavy_clients
+from billbook.operators.book import book_by_cohort, book_tasks, heavy_clients
 from billbook.operators.joins import LOOK, classified, invoice_payment_join, latest_invoices, latest_payments, stage_invoices
 
 
@@ -35,21 +35,23 @@ class BookResult:
     dt_proc: str
     ref_date: str | None = None
     heavy: Sequence[int | None] = ()
+    tasks: int | None = None
 
     @property
     def book(self) -> DataFrame:
         """Built on first use, so callers that need only the stage do not
         pay for constructing the 200-column plan."""
-        return book_by_cohort(self.stage, self.dt_proc, anchor=self.ref_date, heavy=self.heavy)
+        return book_by_cohort(self.stage, self.dt_proc, anchor=self.ref_date, heavy=self.heavy, tasks=self.tasks)
 
 
 def build_book(invoices: DataFrame, payments: DataFrame, dt_proc: str, ref_date: str | None = None,
-               seen: Observation | None = None, heavy: Sequence[int | None] = ()) -> BookResult:
+               seen: Observation | None = None, heavy: Sequence[int | None] = (), tasks: int | None = None) -> BookResult:
     """The book plan. With ``ref_date`` the invoices are cut to that cohort,
     unpaid delay is measured to ``ref_date`` and windows are anchored on it;
     without it each client's newest emission date anchors its windows.
     ``seen`` counts the deduplicated invoices as they pass (``invoices``);
-    ``heavy`` clients are combined before they are dealt out."""
+    ``heavy`` clients are combined before they are dealt out, the others are
+    dealt to ``tasks`` tasks."""
     inv = invoices if ref_date is None else invoices_for_cohort(invoices, ref_date)
     pay = payments
     if ref_date is not None:
@@ -63,7 +65,7 @@ def build_book(invoices: DataFrame, payments: DataFrame, dt_proc: str, ref_date:
         newest = newest.observe(seen, F.count(F.lit(1)).alias("invoices"))
     joined = invoice_payment_join(newest, latest_payments(pay))
     stage = stage_invoices(classified(joined, ref_date), dt_proc)
-    return BookResult(stage=stage, dt_proc=dt_proc, ref_date=ref_date, heavy=heavy)
+    return BookResult(stage=stage, dt_proc=dt_proc, ref_date=ref_date, heavy=heavy, tasks=tasks)
 
 
 @dataclass
@@ -113,7 +115,7 @@ def run_book(spark, lake_root: str, dt_proc: str, ref_date: str | None = None) -
             if staged.rows != expected:
                 raise ValueError(f"stage_fatura: {staged.rows} rows staged, {expected} invoices expected")
         stage = read_runs(spark, stage_table, [run], STAGE)
-        plan = build_book_from_stage(stage, dt_proc, ref_date)
+        plan = build_book_from_stage(stage, dt_proc, ref_date, staged.rows)
         book = write_run(plan, book_table, run)
         report = check_integrity(read_runs(spark, book_table, [run], plan.schema), "book_fatura", dt_proc,
                                  IntegritySpec(BOOK_KEYS, BOOK_KEYS, expected=book.rows), layer(lake_root, "qualidade"))
@@ -129,9 +131,12 @@ def run_book(spark, lake_root: str, dt_proc: str, ref_date: str | None = None) -
     return report
 
 
-def build_book_from_stage(stage: DataFrame, dt_proc: str, ref_date: str | None = None) -> DataFrame:
-    """The book of a written stage; heavy clients are found in a sample of it."""
-    return book_by_cohort(stage, dt_proc, anchor=ref_date, heavy=heavy_clients(stage.select("id_cliente").sample(LOOK, seed=7), LOOK))
+def build_book_from_stage(stage: DataFrame, dt_proc: str, ref_date: str | None = None, rows: int | None = None) -> DataFrame:
+    """The book of a written stage of ``rows`` rows (counted, if not given);
+    heavy clients are found in a sample of it."""
+    tasks = book_tasks(stage.sparkSession, stage.count() if rows is None else rows)
+    return book_by_cohort(stage, dt_proc, anchor=ref_date,
+                          heavy=heavy_clients(stage.select("id_cliente").sample(LOOK, seed=7), LOOK), tasks=tasks)
 
 
 def run_pipeline(spark, lake_root: str, dt_proc: str, ref_date: str | None = None) -> PipelineReport:

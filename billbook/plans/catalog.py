@@ -99,11 +99,18 @@ def _vw(spark, sf, month=None):
 _hot_clients: dict[str, list] = {}
 
 
+#: Invoices of a book by folder and cohort, counted once: an outdated number changes no result.
+_book_rows: dict[tuple[str, str | None], int] = {}
+
+
 def _book(spark, sf, ref_date=None):
     invoices, payments = _inputs(spark, sf)
     if sf not in _hot_clients:
         _hot_clients[sf] = B.heavy_clients(invoices.select("id_cliente").sample(LOOK, seed=7), LOOK)
-    return build_book(invoices, payments, DT_PROC, ref_date, heavy=_hot_clients[sf]).book
+    if (sf, ref_date) not in _book_rows:
+        _book_rows[sf, ref_date] = (invoices if ref_date is None else invoices_for_cohort(invoices, ref_date)).count()
+    tasks = B.book_tasks(spark, _book_rows[sf, ref_date])
+    return build_book(invoices, payments, DT_PROC, ref_date, heavy=_hot_clients[sf], tasks=tasks).book
 
 
 def _out(fn):
