@@ -56,9 +56,15 @@ def unpack(x: bytes, n: int) -> np.ndarray:
     return np.frombuffer(pa.decompress(x, 4 * n, codec="zstd", asbytes=True), dtype="<i4")
 
 
-def csr(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """(words, row sizes, columns, counts) of the rows of ``data``; columns
-    number the shard's own distinct ``words`` and ascend within a row."""
+def row_counts(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many of each row's flags are set; running sums over a shard's bytes
+    would take eight times the shard, and twice."""
+    ends = offsets.tolist()
+    return np.fromiter((np.count_nonzero(flags[a:b]) for a, b in zip(ends, ends[1:])), np.int64, len(ends) - 1)
+
+
+def row_words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The words of the rows of ``data`` in order, and each one's row."""
     space = SPACE_TABLE[data]
     begins, ends = ~space, ~space
     begins[1:] &= space[:-1]
@@ -71,12 +77,31 @@ def csr(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np
     size = np.flatnonzero(ends) + 1 - at
     places = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
     words = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(places), pa.py_buffer(np.ascontiguousarray(data[~space]))])
-    coded = words.dictionary_encode()
-    row = np.searchsorted(offsets, at, side="right") - 1
-    vocabulary = max(1, len(coded.dictionary))
-    cells, counts = np.unique(row * vocabulary + coded.indices.to_numpy().astype(np.int64), return_counts=True)
-    sizes = np.bincount(cells // vocabulary, minlength=len(offsets) - 1)
-    return coded.dictionary, sizes, cells % vocabulary, counts
+    return words, (np.searchsorted(offsets, at, side="right") - 1).astype(np.int32)
+
+
+#: Bytes of a shard whose words are looked at together.
+PIECE = 1 << 20
+
+
+def csr(data: np.ndarray, offsets: np.ndarray, piece: int = PIECE) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """(words, row sizes, columns, counts) of the rows of ``data``; columns
+    number the shard's own distinct ``words`` and ascend within a row. Words
+    are found and counted a piece of whole rows at a time: positions and sorts
+    over all of a shard would take fifteen times its bytes."""
+    pieces = [row_words(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a]) for a, b in row_chunks(offsets, piece)]
+    # One dictionary for all pieces, in order of first sight.
+    coded = pa.chunked_array([words for words, _ in pieces], pa.large_binary()).dictionary_encode()
+    dictionary = coded.chunk(0).dictionary if coded.num_chunks else pa.array([], pa.large_binary())
+    vocabulary = max(1, len(dictionary))
+    sizes, columns, counts = [], [], []
+    for chunk, (_, row), (a, b) in zip(coded.chunks, pieces, row_chunks(offsets, piece)):
+        cells, times = np.unique(row.astype(np.int64) * vocabulary + chunk.indices.to_numpy(), return_counts=True)
+        sizes.append(np.bincount(cells // vocabulary, minlength=b - a))
+        columns.append((cells % vocabulary).astype(np.int32))
+        counts.append(times.astype(np.int32))
+    empty = np.zeros(0, dtype=np.int32)
+    return dictionary, *(np.concatenate([empty, *found]) for found in (sizes, columns, counts))
 
 
 def csr_shards(docs: DataFrame, shard_bytes: int = SHARD) -> DataFrame:
@@ -93,14 +118,11 @@ def csr_shards(docs: DataFrame, shard_bytes: int = SHARD) -> DataFrame:
                 part, off = data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a]
                 words, sizes, columns, counts = csr(part, off)
 
-                def per_row(flags):
-                    return np.diff(np.concatenate(([0], np.cumsum(flags)))[off])
-
                 buffer = memoryview(part)
                 digests = [hashlib.sha256(buffer[off[i]: off[i + 1]]).digest() for i in range(b - a)]
                 rows = pa.StructArray.from_arrays(
-                    [batch.column(0)[a:b], batch.column(1)[a:b], pa.array(per_row((part & 0xC0) != 0x80), pa.int64()),
-                     pa.array(per_row(CAPITAL[part]), pa.int64()), pa.array(per_row(MARK[part]) > 0), pa.array(digests, pa.binary())],
+                    [batch.column(0)[a:b], batch.column(1)[a:b], pa.array(row_counts((part & 0xC0) != 0x80, off)),
+                     pa.array(row_counts(CAPITAL[part], off)), pa.array(row_counts(MARK[part], off) > 0), pa.array(digests, pa.binary())],
                     names=["doc_id", "part", "code_points", "n_capitals", "marked", "digest"])
                 number = (TaskContext.get().partitionId() << 32) + made
                 made += 1
@@ -116,8 +138,10 @@ def csr_shards(docs: DataFrame, shard_bytes: int = SHARD) -> DataFrame:
             held.append(batch)
             size += batch.column(2).nbytes
             if size >= shard_bytes:
-                yield from shard(_joined(held))
-                held, size = [], 0
+                # One copy of the text at a time: the batches go first.
+                whole, batch, held, size = _joined(held), None, [], 0
+                yield from shard(whole)
+                whole = None
         if held:
             yield from shard(_joined(held))
 

@@ -150,3 +150,48 @@ def test_query_equals_its_sql(spark, sf_small, name):
     from tools.compare import compare, duck
 
     assert compare(QUERIES[name](spark, sf_small), ORACLE[name], duck(sf_small))["ok"]
+
+
+def test_audit_row_counts_need_no_running_sums():
+    import tracemalloc
+
+    import numpy as np
+
+    from billbook.llm.audit import row_counts
+
+    flags = np.tile(np.array([True, False, True, True]), 1 << 18)
+    offsets = np.array([0, 0, 3, 4, 1 << 18, 1 << 18, len(flags)])
+    tracemalloc.start()
+    counts = row_counts(flags, offsets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counts.tolist() == [int(flags[a:b].sum()) for a, b in zip(offsets, offsets[1:])]
+    assert counts.dtype == np.int64 and peak < len(flags)  # a running sum is eight times as large
+    assert row_counts(flags[:0], np.array([0, 0])).tolist() == [0]
+
+
+def test_audit_matrix_is_built_in_pieces():
+    import tracemalloc
+    from collections import Counter
+
+    import numpy as np
+
+    from billbook.llm.audit import csr
+
+    texts = ["", "a b a", " ", "\tb\n\u00e9 \u00e9x ", "end", "start  end"] + [f"w{i % 97} w{i % 5} w{i} filler words" for i in range(40_000)]
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw])))
+    whole = csr(data, offsets, 1 << 30)  # and all is imported
+    tracemalloc.start()
+    words, sizes, columns, counts = csr(data, offsets, 1 << 16)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * len(data)  # all at once took twice that
+    known, first = words.to_pylist(), np.concatenate(([0], np.cumsum(sizes)))
+    assert len(sizes) == len(texts) and len(set(known)) == len(known)
+    for i, text in enumerate(texts):
+        cells = slice(first[i], first[i + 1])
+        assert (np.diff(columns[cells]) > 0).all()
+        expected = Counter(w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", text))
+        assert dict(zip((known[c] for c in columns[cells]), counts[cells])) == expected
+    assert whole[0].equals(words) and all((x == y).all() for x, y in zip(whole[1:], (sizes, columns, counts)))
