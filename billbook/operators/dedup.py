@@ -33,6 +33,19 @@ def dedup_latest(
     return df.select("*", F.row_number().over(newest_first).alias("_place")).where("_place <= 1").drop("_place")
 
 
+def distinct_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per ``keys``, any of them, as ``dropDuplicates`` keeps.
+
+    Rows are grouped by a hash of the keys before the keys. Text columns make
+    Spark group by sorting; ids with a common prefix look equal to the first
+    eight bytes a sort compares, so that nearly every comparison would read
+    both rows, while hashes differ there."""
+    named = "_hash"
+    while named in df.columns:
+        named += "_"
+    return df.withColumn(named, F.xxhash64(*keys)).dropDuplicates([named, *keys]).drop(named)
+
+
 def dedup_join_max_key(df: DataFrame, keys: Sequence[str], version_col: str = "dedup_key") -> DataFrame:
     """Keep rows whose ``version_col`` equals the maximum of their key group
     (all rows tied at the maximum are kept; NULL keys and NULL versions never

@@ -20,7 +20,7 @@ from billbook.functions.parsing import parse_id
 from billbook.operators import book as B
 from billbook.operators import marts as M
 from billbook.operators import observability as O
-from billbook.operators.dedup import dedup_join_max_key, snapshot_latest_batch
+from billbook.operators.dedup import dedup_join_max_key, distinct_by, snapshot_latest_batch
 from billbook.operators.joins import (
     JOIN_KEYS,
     LOOK,
@@ -515,7 +515,7 @@ def q_audit_history(spark, sf):
     for dt_proc, inv, pay in ((DT_PROC, invoices.where(first), payments.where(paid_first)),
                               (TS_PROC, invoices.where(~first), payments.where(~paid_first))):
         load_trusted(inv, "fatura", dt_proc, f"{root}/trusted/tb_01_fatura", f"{root}/qualidade", f"{root}/controle", "a.csv")
-        load_trusted(pay.dropDuplicates(["id_pagamento"]), "pagamento", dt_proc, f"{root}/trusted/tb_02_pagamento",
+        load_trusted(distinct_by(pay, ["id_pagamento"]), "pagamento", dt_proc, f"{root}/trusted/tb_02_pagamento",
                      f"{root}/qualidade", f"{root}/controle", "b.csv")
     run_book(spark, root, TS_PROC)
     return lake.audit_history(spark, root)

@@ -42,3 +42,20 @@ def test_a_written_stage_is_dealt_by_its_rows(spark, monkeypatch):
     stage = spark.createDataFrame([("202301", "x", 1, "NAO_PAGO", dt.date(2023, 1, 1), None, 0, 1)], STAGE.simpleString()[7:-1].replace(":", " "))
     assert P.build_book_from_stage(stage, "x").rdd.getNumPartitions() == 8
     assert P.build_book_from_stage(stage, "x", rows=13).rdd.getNumPartitions() == 20
+
+
+def test_rows_distinct_by_a_text_id_are_sorted_by_its_hash(spark):
+    from billbook.operators.dedup import distinct_by
+
+    rows = [("PAG-1", "a"), ("PAG-2", "b"), ("PAG-1", "a"), (None, "c"), (None, "c"), ("", "d")]
+    df = spark.createDataFrame(rows, "id string, _hash string")
+    kept = distinct_by(df, ["id"])
+    assert kept.columns == df.columns
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, df.dropDuplicates(["id"]).collect()))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sorts = [line for line in plan.splitlines() if "Sort [" in line]
+    assert sorts and all(line.split("Sort [", 1)[1].startswith("_hash_#") for line in sorts)
