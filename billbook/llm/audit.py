@@ -94,13 +94,16 @@ def csr(data: np.ndarray, offsets: np.ndarray, piece: int = PIECE) -> tuple[pa.A
     coded = pa.chunked_array([words for words, _ in pieces], pa.large_binary()).dictionary_encode()
     dictionary = coded.chunk(0).dictionary if coded.num_chunks else pa.array([], pa.large_binary())
     vocabulary = max(1, len(dictionary))
-    sizes, columns, counts = [], [], []
-    for chunk, (_, row), (a, b) in zip(coded.chunks, pieces, row_chunks(offsets, piece)):
-        cells, times = np.unique(row.astype(np.int64) * vocabulary + chunk.indices.to_numpy(), return_counts=True)
+    empty = np.zeros(0, dtype=np.int32)
+    # Pieces without words have no chunk of their own.
+    column = np.concatenate([empty, *(chunk.indices.to_numpy() for chunk in coded.chunks)])
+    done, sizes, columns, counts = 0, [], [], []
+    for (_, row), (a, b) in zip(pieces, row_chunks(offsets, piece)):
+        cells, times = np.unique(row.astype(np.int64) * vocabulary + column[done: done + len(row)], return_counts=True)
+        done += len(row)
         sizes.append(np.bincount(cells // vocabulary, minlength=b - a))
         columns.append((cells % vocabulary).astype(np.int32))
         counts.append(times.astype(np.int32))
-    empty = np.zeros(0, dtype=np.int32)
     return dictionary, *(np.concatenate([empty, *found]) for found in (sizes, columns, counts))
 
 

@@ -178,7 +178,7 @@ def test_audit_matrix_is_built_in_pieces():
 
     from billbook.llm.audit import csr
 
-    texts = ["", "a b a", " ", "\tb\n\u00e9 \u00e9x ", "end", "start  end"] + [f"w{i % 97} w{i % 5} w{i} filler words" for i in range(40_000)]
+    texts = ["", "a b a", " ", "\tb\n\u00e9 \u00e9x ", "end", "start  end", " " * 70_000, "", " " * 70_000] + [f"w{i % 97} w{i % 5} w{i} filler words" for i in range(40_000)]
     raw = [t.encode() for t in texts]
     data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw])))
     whole = csr(data, offsets, 1 << 30)  # and all is imported
@@ -194,4 +194,6 @@ def test_audit_matrix_is_built_in_pieces():
         assert (np.diff(columns[cells]) > 0).all()
         expected = Counter(w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", text))
         assert dict(zip((known[c] for c in columns[cells]), counts[cells])) == expected
+    for blank in ([0, 0], [0, 3], [0, 0, 3, 3]):
+        assert csr(np.full(blank[-1], 0x20, np.uint8), np.array(blank), 2)[1].tolist() == [0] * (len(blank) - 1)
     assert whole[0].equals(words) and all((x == y).all() for x, y in zip(whole[1:], (sizes, columns, counts)))
