@@ -9,6 +9,7 @@ from billbook.schemas import STAGE
 from billbook.session import apply_defaults
 
 ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+SPLIT = "spark.sql.files.maxPartitionBytes"
 
 
 def test_defaults_deal_small_partitions_unless_the_cluster_says_otherwise(spark):
@@ -19,6 +20,14 @@ def test_defaults_deal_small_partitions_unless_the_cluster_says_otherwise(spark)
     assert apply_defaults(session).conf.get(ADVISORY) == "8m"
 
 
+def test_defaults_scan_small_splits_unless_the_cluster_says_otherwise(spark):
+    session = spark.newSession()
+    session.conf.unset(SPLIT)
+    assert apply_defaults(session).conf.get(SPLIT) == "16m"
+    session.conf.set(SPLIT, "8m")
+    assert apply_defaults(session).conf.get(SPLIT) == "8m"
+
+
 def test_book_is_dealt_by_rows(spark):
     cores = spark.sparkContext.defaultParallelism
     assert B.book_tasks(spark, 0) == cores and B.book_tasks(spark, 54_000_000) >= 1080
